@@ -1,0 +1,33 @@
+"""Joining rows whose keys may be very unevenly spread."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+HEAVY_SHARE = 200
+SALTS = 64
+
+
+def salted_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: str,
+    share: int = HEAVY_SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Inner join that splits every key holding more than ``1/share`` of the rows.
+
+    Fewer than ``share`` keys can be that heavy, so the list of them is safe to broadcast. Their
+    rows are spread over ``salts`` sub-keys by a hash of ``spread_by`` and the matching lookup rows
+    are repeated once per sub-key; all other rows and lookups keep sub-key 0. No row is dropped.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    heavy = F.broadcast(counts.filter(F.col("_n") * share > total).select(key, F.lit(True).alias("_heavy")))
+
+    salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    salt_list = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(heavy, key, "left").withColumn("_salt", salt).drop("_heavy")
+    right = lookup.join(heavy, key, "left").withColumn("_salt", F.explode(salt_list)).drop("_heavy")
+    return left.join(right, [key, "_salt"]).drop("_salt")
