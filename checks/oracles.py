@@ -328,12 +328,12 @@ FROM customer CROSS JOIN (SELECT unnest(['B1', 'B2']) AS banner) b WHERE c_natio
 """
 
 
-def _fraction(key: str, seed: int = 42) -> str:
-    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+def _fraction(key: str, purpose: str) -> str:
+    return f"CAST('0x' || substr(md5('{purpose}:42:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
 ASSIGNED = f"""
-SELECT l.*, CASE WHEN {_fraction('l.customer_id')} <= 0.1 THEN 'T' ELSE 'C' END AS group_flag
+SELECT l.*, CASE WHEN {_fraction('l.customer_id', 'group')} <= 0.1 THEN 'T' ELSE 'C' END AS group_flag
 FROM likelihood l WHERE l.customer_id IN (SELECT customer_id FROM previous)
 """
 
@@ -614,21 +614,21 @@ STATEMENTS: dict[str, str] = {
         FROM (
           SELECT c_custkey, c_mktsegment,
                  CAST(row_number() OVER (PARTITION BY c_mktsegment
-                        ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR))) - 1 AS DOUBLE)
+                        ORDER BY md5('split:42:' || CAST(c_custkey AS VARCHAR))) - 1 AS DOUBLE)
                  / count(*) OVER (PARTITION BY c_mktsegment) AS place
           FROM customer
         )""",
     "stratified_sample": """
         SELECT o_orderkey, o_orderstatus FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_orderstatus
-                                   ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)))
+                                   ORDER BY md5('sample:42:' || CAST(o_orderkey AS VARCHAR)))
                 <= ceil(0.02::DOUBLE * count(*) OVER (PARTITION BY o_orderstatus))""",
     "balanced_copies": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label,
                count(*) AS copies
         FROM lineitem
         JOIN (SELECT 1 AS lo UNION ALL SELECT 2) k ON k.lo <= CASE WHEN l_returnflag <> 'R' THEN 1
-             ELSE 1 + CASE WHEN {_fraction("l_orderkey")} < 2.5::DOUBLE - 2 THEN 1 ELSE 0 END END
+             ELSE 1 + CASE WHEN {_fraction("l_orderkey", "copies")} < 2.5::DOUBLE - 2 THEN 1 ELSE 0 END END
         GROUP BY ALL""",
     "roc_auc": "SELECT 'score_ties' AS score, round(sum(neg * (tp - pos / 2.0::DOUBLE)) "
     "/ nullif(max(positives * negatives), 0), 6) AS roc_auc FROM ties_curve "
@@ -717,6 +717,11 @@ STATEMENTS["standard_scale"] = (
     )
     + " FROM embeddings"
 )
+STATEMENTS["class_weights"] = """
+    SELECT epsilon_id, label, CASE WHEN label = 1 THEN round((
+             SELECT CAST(sum(1 - label) AS DOUBLE) / greatest(sum(label), 1) FROM labelled), 6)
+           ELSE 1.0::DOUBLE END AS weight
+    FROM labelled"""
 STATEMENTS["write_snapshot_roundtrip"] = """
     SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment,
            CASE WHEN c_custkey % 2 = 0 THEN '2001_327' ELSE '2001_329' END AS week_identifier

@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from checks import products
+from checks import model_queries, products
 from checks.standins import BANNER, CALENDAR_START, EVENT_WEEK, FEATURE_WEEK, Standins
 from footfall.functions.weeks import previous_year_week, week_number, week_year
 from footfall.operators import audit, metrics, sampling
 from footfall.operators.calendar_join import join_weeks
 from footfall.operators.impute import median_fill
 from footfall.plans import experiment, profiles, transactions
-from footfall.session import cut_lineage
+from footfall.session import cut_lineage, scratch_path
+from footfall.sources import tables
 
 Query = Callable[[Standins], DataFrame]
 
@@ -106,6 +107,21 @@ def balanced_copies(s: Standins) -> DataFrame:
     return copies.groupBy("l_orderkey", "l_linenumber", "l_partkey", "label").agg(F.count("*").alias("copies"))
 
 
+def snapshot_roundtrip(s: Standins) -> DataFrame:
+    """Customers written as two weekly snapshots, one of them replaced, and read back."""
+    path = scratch_path(s.spark, "snapshots")
+    customers = s.table("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    even = customers.filter("c_custkey % 2 = 0")
+    tables.write_snapshot(customers, path, "2001_327")
+    tables.write_snapshot(customers.filter("c_custkey % 2 = 1"), path, "2001_329")
+    tables.write_snapshots(even.withColumn(tables.SNAPSHOT, F.lit("2001_327")), path)
+    weeks = [
+        tables.read_snapshot(s.spark, path, week).withColumn("week_identifier", F.lit(week))
+        for week in ("2001_327", "2001_329")
+    ]
+    return weeks[0].unionByName(weeks[1])
+
+
 SQL_CHECKED: dict[str, tuple[Query, int]] = {
     "week_calendar": (week_calendar, 6),
     "clean_transactions": (lambda s: transactions.with_previous_date(products.clean(s)), 4),
@@ -181,6 +197,9 @@ SQL_CHECKED: dict[str, tuple[Query, int]] = {
         ),
         6,
     ),
+    "standard_scale": (model_queries.standard_scale, 4),
+    "class_weights": (model_queries.weighted_rows, 6),
+    "write_snapshot_roundtrip": (snapshot_roundtrip, 6),
 }
 
 
@@ -189,4 +208,5 @@ def run(query: Query, digits: int) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: run(query, digits) for name, (query, digits) in SQL_CHECKED.items()}
+    fitted = {name: (query, 6) for name, query in model_queries.MODEL_QUERIES.items()}
+    return {name: run(query, digits) for name, (query, digits) in {**SQL_CHECKED, **fitted}.items()}

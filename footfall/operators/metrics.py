@@ -13,12 +13,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from footfall.operators.ordering import cut_points, piece_of, running_totals
 
 
-def by_score(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def by_score(
+    scored: DataFrame,
+    actual: str,
+    score: str,
+    by: Sequence[str] = (),
+    cuts: Sequence[float] | None = None,
+) -> DataFrame:
     """Per distinct score: positives, negatives, their counts at or above it, and the totals.
 
-    Runs one pass at call time to place the cut points; hand it a stored table if scoring is costly.
+    Without ``cuts`` one pass at call time places the cut points; hand it a stored table then, if
+    scoring is costly.
     """
-    cuts = cut_points(scored.select(score), [score])[score]
+    if cuts is None:
+        cuts = cut_points(scored.select(score), [score])[score]
     collapsed = scored.groupBy(*by, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
     )
@@ -30,12 +38,19 @@ def by_score(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ())
     )
 
 
-def roc_auc(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def roc_auc(
+    scored: DataFrame,
+    actual: str,
+    score: str,
+    by: Sequence[str] = (),
+    cuts: Sequence[float] | None = None,
+) -> DataFrame:
     """Chance that a positive outscores a negative, ties counted as one half; NULL for one class."""
     above = F.col("tp") - F.col("pos") / 2
     area = F.sum(F.col("neg") * above)
     pairs = F.max(F.col("positives").cast("double") * F.col("negatives"))
-    return by_score(scored, actual, score, by).groupBy(*by).agg(F.try_divide(area, pairs).alias("roc_auc"))
+    counts = by_score(scored, actual, score, by, cuts)
+    return counts.groupBy(*by).agg(F.try_divide(area, pairs).alias("roc_auc"))
 
 
 def roc_curve(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -> DataFrame:
