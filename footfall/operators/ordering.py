@@ -22,6 +22,8 @@ def cut_points(df: DataFrame, columns: Sequence[str], pieces: int = PIECES) -> d
 
     Results never depend on where the cuts fall; only the balance of the pieces does.
     """
+    if pieces < 2:
+        return {c: [] for c in columns}
     probabilities = [i / pieces for i in range(1, pieces)]
     found = df.approxQuantile(list(columns), probabilities, 0.5 / pieces)
     return {c: sorted(set(cuts)) for c, cuts in zip(columns, found)}
