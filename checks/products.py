@@ -53,16 +53,17 @@ def point_profile(s: Standins) -> DataFrame:
     return profiles.point_profile(profiles.card_points(summary(s), FEATURE_WEEK.start), accounts(s))
 
 
-def purchase_history(s: Standins, by_range: bool = False) -> DataFrame:
-    return history.purchase_history(customer_days(s), s.calendar(), FEATURE_WEEK, by_range=by_range)
+def purchase_history(s: Standins, days: DataFrame | None = None, by_range: bool = False) -> DataFrame:
+    days = customer_days(s) if days is None else days
+    return history.purchase_history(days, s.calendar(), FEATURE_WEEK, by_range=by_range)
 
 
-def purchase_matrix(s: Standins) -> DataFrame:
-    return history.purchase_matrix(purchase_history(s), s.calendar(), FEATURE_WEEK)
+def purchase_matrix(s: Standins, days: DataFrame | None = None) -> DataFrame:
+    return history.purchase_matrix(purchase_history(s, days), s.calendar(), FEATURE_WEEK)
 
 
-def season_matrix(s: Standins) -> DataFrame:
-    return history.season_matrix(purchase_history(s), s.calendar(), FEATURE_WEEK)
+def season_matrix(s: Standins, days: DataFrame | None = None) -> DataFrame:
+    return history.season_matrix(purchase_history(s, days), s.calendar(), FEATURE_WEEK)
 
 
 def adhoc_offers(s: Standins) -> DataFrame:
@@ -88,13 +89,18 @@ def embedding_table(s: Standins) -> DataFrame:
 
 
 def feature_matrix(s: Standins) -> DataFrame:
-    """Training matrix; the profile is stored once because the medians read it several times."""
-    stored = cut_lineage(purchase_profile(s))
+    """Training matrix.
+
+    The customers' purchase days feed the profile and both matrices, and the medians read the profile
+    several times, so each of the two is stored once.
+    """
+    days = cut_lineage(customer_days(s))
+    profile = cut_lineage(profiles.purchase_profile(days, FEATURE_WEEK.start))
     customer_summary = features.customer_summary(
         point_profile(s),
-        features.filled_purchase_profile(stored, BANNER),
-        purchase_matrix(s),
-        season_matrix(s),
+        features.filled_purchase_profile(profile, BANNER),
+        purchase_matrix(s, days),
+        season_matrix(s, days),
         BANNER,
     )
     return features.feature_matrix(
@@ -112,10 +118,11 @@ def offer_views_by_week(s: Standins) -> DataFrame:
     return affinity.offer_views_by_week(seen, s.calendar(), first, end)
 
 
-def event_base(s: Standins) -> DataFrame:
+def event_days(s: Standins) -> DataFrame:
     first, last = look_back(EVENT_WEEK)
     cleaned = transactions.clean_transactions(s.event_detail(), BANNER, first, last)
-    return affinity.transaction_base(cleaned, accounts(s), s.calendar(), first, last)
+    daily = profiles.daily_purchases(cleaned)
+    return affinity.shopping_days(daily, accounts(s), s.calendar(), first, last)
 
 
 def transaction_base(s: Standins) -> DataFrame:
@@ -123,12 +130,12 @@ def transaction_base(s: Standins) -> DataFrame:
 
 
 def weekly_shop_view(s: Standins) -> DataFrame:
-    return affinity.weekly_shop_view(customer_base(s), event_base(s), offer_views_by_week(s), EVENT_WEEK)
+    return affinity.weekly_shop_view(customer_base(s), event_days(s), offer_views_by_week(s), EVENT_WEEK)
 
 
 def statistic_features(s: Standins) -> DataFrame:
     return affinity.statistic_features(
-        s.active_customers(), event_base(s), offer_views_by_week(s), s.calendar(), EVENT_WEEK
+        s.active_customers(), event_days(s), offer_views_by_week(s), s.calendar(), EVENT_WEEK
     )
 
 

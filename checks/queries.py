@@ -82,7 +82,12 @@ def binary_columns(s: Standins) -> DataFrame:
         )
 
     skipped = {"days_since_first_purchase", *profiles.GAP_COLUMNS}
-    frames = [products.purchase_matrix(s), products.season_matrix(s), products.purchase_profile(s)]
+    days = cut_lineage(products.customer_days(s))
+    frames = [
+        products.purchase_matrix(s, days),
+        products.season_matrix(s, days),
+        profiles.purchase_profile(days, FEATURE_WEEK.start),
+    ]
     first, second, third = (by_name(df) for df in frames)
     return first.unionByName(second).unionByName(third)
 
@@ -193,7 +198,7 @@ SQL_CHECKED: dict[str, tuple[Query, int]] = {
     "threshold_sweep": (lambda s: metrics.threshold_sweep(s.scored(), "actual", "score_fine"), 6),
     "segment_metrics": (
         lambda s: metrics.segment_metrics(
-            products.scored_customers(s), "actual", "score", "predicted", "days_since_last_purchase"
+            cut_lineage(products.scored_customers(s)), "actual", "score", "predicted", "days_since_last_purchase"
         ),
         6,
     ),

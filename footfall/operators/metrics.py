@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.operators.ordering import cut_points, piece_of, running_totals
+from footfall.operators.ordering import cut_points, running_totals, with_piece
 
 
 def by_score(
@@ -30,9 +30,8 @@ def by_score(
     collapsed = scored.groupBy(*by, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
     )
-    counted = running_totals(
-        collapsed, "threshold", piece_of(F.col("threshold"), cuts), ["pos", "neg"], by, descending=True
-    )
+    pieces = with_piece(collapsed, "threshold", cuts)
+    counted = running_totals(pieces, "threshold", ["pos", "neg"], by, descending=True)
     return counted.withColumnsRenamed(
         {"pos_through": "tp", "neg_through": "fp", "pos_all": "positives", "neg_all": "negatives"}
     )

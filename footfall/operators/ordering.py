@@ -8,8 +8,10 @@ digits of a hash, never from partition numbers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.ids import id_digest
@@ -29,35 +31,34 @@ def cut_points(df: DataFrame, columns: Sequence[str], pieces: int = PIECES) -> d
     return {c: sorted(set(cuts)) for c, cuts in zip(columns, found)}
 
 
-def piece_of(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points below a value."""
+def with_piece(df: DataFrame, value: str, cuts: Sequence[float], into: str = "_piece") -> DataFrame:
+    """Add the number of cut points at or below a value, found by binary search."""
     if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda cut: cut < value))
+        return df.withColumn(into, F.lit(0.0))
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol=value, outputCol=into, handleInvalid="keep").transform(df)
 
 
 def running_totals(
     df: DataFrame,
     value: str,
-    piece: Column,
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
 ) -> DataFrame:
     """Add ``{s}_through`` (running, inclusive) and ``{s}_all`` (whole group) for each sum column.
 
-    ``df`` has one row per ``by`` and ``value``. ``piece`` must rise with ``value``.
+    ``df`` has one row per ``by`` and ``value``, and a ``_piece`` that rises with ``value``.
     """
     by = list(by)
 
     def ordered(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
-    pieces = df.withColumn("_piece", piece)
     group = Window.partitionBy(*by)
     earlier = group.orderBy(ordered("_piece")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        pieces.groupBy(*by, "_piece")
+        df.groupBy(*by, "_piece")
         .agg(*[F.sum(s).alias(s) for s in sums])
         .select(
             *by,
@@ -71,8 +72,8 @@ def running_totals(
         .orderBy(ordered(value))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return pieces.join(carried, [*by, "_piece"]).select(
-        *df.columns,
+    return df.join(carried, [*by, "_piece"]).select(
+        *[c for c in df.columns if c != "_piece"],
         *[(F.col(f"_{s}_before") + F.sum(s).over(inside)).alias(f"{s}_through") for s in sums],
         *[F.col(f"{s}_all") for s in sums],
     )
@@ -115,15 +116,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    cuts = cut_points(numbers, columns)
+    pieces = numbers
+    for c, cuts in cut_points(numbers, columns).items():
+        pieces = with_piece(pieces, c, cuts, f"_piece_{c}")
+    entries = [
+        F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.col(f"_piece_{c}").alias("_piece"))
+        for c in columns
+    ]
     values = (
-        numbers.unpivot([], columns, "name", "value")
+        pieces.select(F.inline(F.array(*entries)))
         .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
+        .groupBy("name", "value", "_piece")
         .agg(F.count("*").alias("n"))
     )
-    piece = F.coalesce(*[F.when(F.col("name") == c, piece_of(F.col("value"), cuts[c])) for c in columns])
-    ranked = running_totals(values, "value", piece, ["n"], by=["name"])
+    ranked = running_totals(values, "value", ["n"], by=["name"])
     lower = F.ceil(F.col("n_all") / 2)
     upper = F.floor(F.col("n_all") / 2) + 1
     medians = ranked.groupBy("name").agg(

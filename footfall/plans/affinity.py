@@ -12,7 +12,6 @@ from footfall.functions.dates import day
 from footfall.functions.ids import hashed_id
 from footfall.operators.calendar_join import every_week, join_weeks
 from footfall.operators.shape import attach_one_row
-from footfall.operators.skew import salted_join
 from footfall.plans.transactions import with_previous_date
 
 VIEW_CHANNELS = (
@@ -73,23 +72,41 @@ def offer_views_by_week(offer_views: DataFrame, calendar: DataFrame, first: dt.d
 def transaction_base(
     transactions: DataFrame, accounts: DataFrame, calendar: DataFrame, first: dt.date, last: dt.date
 ) -> DataFrame:
-    """Every transaction with its customer, previous date and week; safe for very active cards."""
-    owned = salted_join(
-        with_previous_date(transactions),
-        accounts.select("cardnumber", "customerid"),
-        "cardnumber",
-        spread_by="lms_transaction_id",
+    """Every transaction with its customer, previous date and week.
+
+    The account join is the last shuffle and nothing after it asks for its partitioning, so adaptive
+    execution is free to split the partition of a very active card.
+    """
+    rows = (
+        with_previous_date(transactions)
+        .join(accounts.select("cardnumber", "customerid"), "cardnumber")
+        .select(
+            "customerid",
+            "p_trans_dateid",
+            F.col("tx_date").alias("transaction_date"),
+            F.col("banner").alias("p_banner"),
+            "lms_transaction_id",
+            F.lit(1).alias("purchase_flag"),
+            "sales",
+            "tx_epoch",
+            "prev_tx_date",
+        )
     )
-    rows = owned.select(
+    return join_weeks(rows, "transaction_date", calendar, first, last)
+
+
+def shopping_days(
+    daily: DataFrame, accounts: DataFrame, calendar: DataFrame, first: dt.date, last: dt.date
+) -> DataFrame:
+    """The transaction base at day grain, all the statistics need: one row per card and shopping day.
+
+    ``daily`` has one row per card, banner and day, so no card is large in the account join.
+    """
+    rows = daily.join(accounts.select("cardnumber", "customerid"), "cardnumber").select(
         "customerid",
-        "p_trans_dateid",
         F.col("tx_date").alias("transaction_date"),
         F.col("banner").alias("p_banner"),
-        "lms_transaction_id",
         F.lit(1).alias("purchase_flag"),
-        "sales",
-        "tx_epoch",
-        "prev_tx_date",
     )
     return join_weeks(rows, "transaction_date", calendar, first, last)
 
@@ -116,7 +133,7 @@ def weekly_shop_view(
 ) -> DataFrame:
     """Per customer and week: shopped, viewed, both, number of shopping days, last one.
 
-    Transactions and views shrink to one row per customer and week before the joins.
+    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Transactions and views shrink to one row per customer and week before the joins.
     """
     shop, view = F.coalesce("shop_ind", F.lit(0)), F.coalesce("view_ind", F.lit(0))
     weekly_views = views.groupBy(*WEEK_KEYS).agg(F.max("view_ind").alias("view_ind"))
@@ -148,7 +165,7 @@ def statistic_features(
 ) -> DataFrame:
     """Weeks with a view, weeks with a view and a purchase, and the weekly view rate.
 
-    Only active customers with a purchase up to the start of ``week`` are listed. A week without
+    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Only active customers with a purchase up to the start of ``week`` are listed. A week without
     activity adds nothing to any sum, so the customers x weeks base is never built: views and
     transactions are stacked, reduced to customer and week, then to customer.
     """

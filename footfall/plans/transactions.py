@@ -11,6 +11,7 @@ from footfall.functions.dates import date_from_id, epoch_seconds, text_id
 from footfall.functions.ids import hashed_id
 
 CARD = ("cardnumber", "banner")
+LANES = 64
 
 
 def accounts(loyalty_account: DataFrame) -> DataFrame:
@@ -82,26 +83,30 @@ def point_summary(summary: DataFrame, banner: str, first: dt.date, last: dt.date
 
 
 def with_previous_date(
-    rows: DataFrame, keys: Sequence[str] = CARD, at: str = "tx_date", row_id: str = "lms_transaction_id"
+    rows: DataFrame,
+    keys: Sequence[str] = CARD,
+    at: str = "tx_date",
+    row_id: str = "lms_transaction_id",
+    lanes: int = LANES,
 ) -> DataFrame:
     """Add ``prev_tx_date``: the date of the preceding row of the key, ordered by date and id.
 
     Dates carry no time, so only the first row of a day looks back to an earlier day; the others
-    follow a row of their own day. The window therefore runs over distinct days, at most the length
-    of the look-back per key however many rows a key has.
+    follow a row of their own day. Rows are hashed into lanes by id, and only the first row of each
+    lane and day can be the first of its day. Those leaders, at most ``lanes`` per key and day, are
+    put in date order together; the remaining rows of a key stay spread over the lanes. So neither
+    window holds a key's rows in one group, and the input is read once.
     """
-    days = rows.groupBy(*keys, at).agg(F.min(row_id).alias("_first_id"))
-    by_day = Window.partitionBy(*keys).orderBy(at)
-    days = days.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.col(at).alias("_day"),
-        "_first_id",
-        F.lag(at).over(by_day).alias("_previous_day"),
-    )
-    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    previous = F.when(F.col(row_id).eqNullSafe(F.col("_first_id")), F.col("_previous_day")).otherwise(F.col(at))
-    return rows.join(days, [*same_key, F.col(at) == F.col("_day")]).select(
-        *rows.columns, previous.alias("prev_tx_date")
+    lane = F.pmod(F.xxhash64(row_id), F.lit(lanes)).cast("int")
+    same_day = Window.partitionBy(*keys, at, "_lane").orderBy(row_id)
+    in_order = Window.partitionBy(*keys, "_group").orderBy(at, row_id)
+    leads = F.row_number().over(same_day) == 1
+    return (
+        rows.withColumn("_lane", lane)
+        .withColumn("_group", F.when(leads, -1).otherwise(F.col("_lane")))
+        .withColumn("prev_tx_date", F.lag(at).over(in_order))
+        .withColumn("prev_tx_date", F.when(F.col("_group") == -1, F.col("prev_tx_date")).otherwise(F.col(at)))
+        .drop("_lane", "_group")
     )
 
 

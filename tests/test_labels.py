@@ -56,6 +56,8 @@ def test_statistics_equal_the_sums_over_the_weekly_base(spark):
     shops = affinity.transaction_base(
         bought.drop("customerid"), owners, calendar, first, end - dt.timedelta(days=1)
     )
+    daily = bought.select("cardnumber", "banner", "tx_date").distinct()
+    by_day = affinity.shopping_days(daily, owners, calendar, first, end - dt.timedelta(days=1))
     base = affinity.customer_base(active, calendar, WEEK, "B1")
     weekly = affinity.weekly_shop_view(base, shops, by_week, WEEK)
     want = {
@@ -65,6 +67,8 @@ def test_statistics_equal_the_sums_over_the_weekly_base(spark):
         .collect()
     }
     found = affinity.statistic_features(active, shops, by_week, calendar, WEEK).collect()
+    assert found == affinity.statistic_features(active, by_day, by_week, calendar, WEEK).collect()
+    assert weekly.exceptAll(affinity.weekly_shop_view(base, by_day, by_week, WEEK)).count() == 0
     assert {r.customer_id for r in found} == {1, 2}
     assert {r.customer_id: (r.weeks_views, r.shop_view_weeks) for r in found} == {k: want[k] for k in (1, 2)}
     assert all(r.lambda_views == pytest.approx(r.weeks_views / 52) for r in found)

@@ -9,9 +9,8 @@ from pyspark.sql import Window, functions as F
 
 from footfall.operators import sampling
 from footfall.operators.impute import median_fill
-from footfall.operators.ordering import cut_points, exact_medians, hash_rank, piece_of, running_totals
+from footfall.operators.ordering import cut_points, exact_medians, hash_rank, running_totals, with_piece
 from footfall.operators.shape import attach_one_row, as_one_row, flag_matrix, keep_one
-from footfall.operators.skew import salted_join
 
 
 def numbers(spark, rows=5000, partitions=4):
@@ -26,7 +25,7 @@ def test_running_totals(spark, descending, pieces):
     rows = numbers(spark)
     collapsed = rows.groupBy("g", "v").agg(F.count("*").alias("n"))
     cuts = cut_points(rows, ["v"], pieces)["v"]
-    found = running_totals(collapsed, "v", piece_of(F.col("v"), cuts), ["n"], ["g"], descending)
+    found = running_totals(with_piece(collapsed, "v", cuts), "v", ["n"], ["g"], descending)
     order = F.col("v").desc() if descending else F.col("v")
     window = Window.partitionBy("g").orderBy(order)
     plain = collapsed.select(
@@ -110,15 +109,3 @@ def test_pivots_have_declared_columns(spark):
     assert [r.asDict() for r in matrix.collect()] == [{"k": "a", "1_back": 1, "2_back": 0, "3_back": 1}]
     one = as_one_row(rows.withColumn("f", F.lit(1)), "p", "f", [1, 2], "{}_f")
     assert attach_one_row(rows.select("k"), one).first().asDict() == {"k": "a", "1_f": 1, "2_f": 0}
-
-
-def test_salted_join_equals_a_plain_join(spark):
-    rows = spark.range(6000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 900).cast("string"))).alias("k")
-    )
-    lookup = rows.select("k").distinct().withColumn("v", F.length("k")).filter("k <> 'k7'")
-    lookup = lookup.unionByName(lookup.filter("k = 'hot'").withColumn("v", F.lit(99)))
-    found = salted_join(rows, lookup, "k", "id", salts=8)
-    plain = rows.join(lookup, "k")
-    assert found.count() == plain.count()
-    assert found.select(*plain.columns).exceptAll(plain).count() == 0
