@@ -22,12 +22,12 @@ def by_score(
 ) -> DataFrame:
     """Per distinct score: positives, negatives, their counts at or above it, and the totals.
 
-    Without ``cuts`` one pass at call time places the cut points; hand it a stored table then, if
+    Rows without a score are left out. Without ``cuts`` one pass at call time places the cut points; hand it a stored table then, if
     scoring is costly.
     """
     if cuts is None:
         cuts = cut_points(scored.select(score), [score])[score]
-    collapsed = scored.groupBy(*by, F.col(score).alias("threshold")).agg(
+    collapsed = scored.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
         F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
     )
     pieces = with_piece(collapsed, "threshold", cuts)

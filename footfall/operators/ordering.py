@@ -4,6 +4,9 @@ All of them cut the order into pieces, sum each piece, carry the sums of the ear
 (a window over one row per piece), and order rows only inside their piece. The piece of a row must
 not change between two evaluations of the plan, so pieces come from literal cut points or from
 digits of a hash, never from partition numbers.
+
+Groups are matched as structs, which equal each other where their NULLs do, so rows of a NULL group
+stay.
 """
 
 from __future__ import annotations
@@ -39,6 +42,15 @@ def with_piece(df: DataFrame, value: str, cuts: Sequence[float], into: str = "_p
     return Bucketizer(splits=splits, inputCol=value, outputCol=into, handleInvalid="keep").transform(df)
 
 
+def _group(by: Sequence[str]) -> Column:
+    return F.struct(*by) if by else F.lit(0)
+
+
+def _carried(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group and piece. Without groups the number of pieces bounds it: broadcast."""
+    return totals if by else F.broadcast(totals)
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -50,29 +62,29 @@ def running_totals(
 
     ``df`` has one row per ``by`` and ``value``, and a ``_piece`` that rises with ``value``.
     """
-    by = list(by)
 
     def ordered(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
-    group = Window.partitionBy(*by)
+    rows = df.withColumn("_group", _group(by))
+    group = Window.partitionBy("_group")
     earlier = group.orderBy(ordered("_piece")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        df.groupBy(*by, "_piece")
+        rows.groupBy("_group", "_piece")
         .agg(*[F.sum(s).alias(s) for s in sums])
         .select(
-            *by,
+            "_group",
             "_piece",
             *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_{s}_before") for s in sums],
             *[F.sum(s).over(group).alias(f"{s}_all") for s in sums],
         )
     )
     inside = (
-        Window.partitionBy(*by, "_piece")
+        Window.partitionBy("_group", "_piece")
         .orderBy(ordered(value))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return df.join(carried, [*by, "_piece"]).select(
+    return rows.join(_carried(carried, by), ["_group", "_piece"]).select(
         *[c for c in df.columns if c != "_piece"],
         *[(F.col(f"_{s}_before") + F.sum(s).over(inside)).alias(f"{s}_through") for s in sums],
         *[F.col(f"{s}_all") for s in sums],
@@ -84,27 +96,28 @@ def hash_rank(
 ) -> DataFrame:
     """Add ``rank`` (1..n per group, in the order of a seeded hash of ``key``) and ``group_rows``.
 
-    ``key`` identifies a row inside its group. The first hash digits are the pieces: uniform, and
-    the same however often or on however many partitions the plan runs.
+    ``key`` identifies a row inside its group and is not NULL. The first hash digits are the pieces:
+    uniform, and the same however often or on however many partitions the plan runs.
     """
-    by = list(by)
-    pieces = df.withColumn("_digest", id_digest(key, seed)).withColumn(
-        "_piece", F.substring("_digest", 1, digits)
+    rows = (
+        df.withColumn("_group", _group(by))
+        .withColumn("_digest", id_digest(key, seed))
+        .withColumn("_piece", F.substring("_digest", 1, digits))
     )
-    group = Window.partitionBy(*by)
+    group = Window.partitionBy("_group")
     earlier = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        pieces.groupBy(*by, "_piece")
+        rows.groupBy("_group", "_piece")
         .agg(F.count("*").alias("_n"))
         .select(
-            *by,
+            "_group",
             "_piece",
             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
             F.sum("_n").over(group).alias("group_rows"),
         )
     )
-    inside = Window.partitionBy(*by, "_piece").orderBy("_digest", key)
-    return pieces.join(carried, [*by, "_piece"]).select(
+    inside = Window.partitionBy("_group", "_piece").orderBy("_digest", key)
+    return rows.join(_carried(carried, by), ["_group", "_piece"]).select(
         *df.columns, (F.col("_before") + F.row_number().over(inside)).alias("rank"), "group_rows"
     )
 

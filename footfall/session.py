@@ -30,6 +30,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor costs a re-read and not a recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame to the shared folder and read it back.
+
+    A lost executor then costs a re-read and not a recomputation, and later plans read only the
+    columns they need, with real sizes to plan joins by.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -47,6 +47,17 @@ def test_hash_rank_is_a_dense_ranking_free_of_partitioning(spark):
     assert all(sorted(ranks) == list(range(1, len(ranks) + 1)) for ranks in by_group.values())
 
 
+def test_rows_of_a_null_group_stay(spark):
+    rows = numbers(spark, 400).withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    ranked = hash_rank(rows, "id", ["g"])
+    assert ranked.count() == 400
+    assert ranked.filter("g IS NULL").agg(F.max("rank")).first()[0] == 100
+    totals = running_totals(
+        with_piece(rows.groupBy("g", "v").agg(F.count("*").alias("n")), "v", [3.0, 9.0]), "v", ["n"], ["g"]
+    )
+    assert totals.groupBy("g").agg(F.max("n_through").alias("n")).filter("n <> 100").count() == 0
+
+
 def test_exact_medians(spark):
     rows = numbers(spark, 4001).withColumn("w", F.when(F.col("id") % 5 != 0, F.col("v") * 2))
     collected = rows.collect()
