@@ -531,6 +531,10 @@ STATEMENTS: dict[str, str] = {
     "promo_weeks_overlap": "SELECT week_identifier, deal_yr, deal_wk, npp_flag FROM promo",
     "promo_weeks_explode": "SELECT week_identifier, deal_yr, deal_wk, npp_flag FROM promo",
     "promo_year_totals": "SELECT deal_yr, sum(npp_flag) AS flagged_weeks FROM promo GROUP BY deal_yr",
+    "promo_without_oldest": """
+        SELECT week_identifier, deal_yr, deal_wk, npp_flag FROM promo
+        WHERE week_identifier <= '2001_327' AND week_identifier NOT IN (
+          SELECT DISTINCT week_identifier FROM promo ORDER BY week_identifier LIMIT 2)""",
     "promo_matrix": "SELECT * FROM promo_row",
     "purchase_labels": "SELECT * FROM labelled_buyers",
     "labelled_customers": "SELECT * FROM labelled",
@@ -717,6 +721,17 @@ STATEMENTS["standard_scale"] = (
     )
     + " FROM embeddings"
 )
+STATEMENTS["queried_views"] = """
+    SELECT md5(upper(trim(CAST(c_custkey AS VARCHAR)))) AS epsilon_id, 'B1' AS p_banner,
+           strftime(ts, '%Y-%m-%d') AS view_date, count(*) AS impressions
+    FROM events JOIN customer ON c_custkey = user_id
+    WHERE event_type IN ('view', 'click', 'signup') AND user_id % 7 <> 0
+      AND CAST(ts AS DATE) >= DATE '2024-01-13' AND CAST(ts AS DATE) < DATE '2024-01-27'
+    GROUP BY ALL"""
+STATEMENTS["offer_files_roundtrip"] = STATEMENTS["adhoc_offers"]
+STATEMENTS["csv_sample_roundtrip"] = STATEMENTS["stratified_sample"]
+STATEMENTS["feature_export_roundtrip"] = """
+    SELECT epsilon_id, days_since_last_purchase, total_purchases, purchase_flag FROM labelled"""
 STATEMENTS["class_weights"] = """
     SELECT epsilon_id, label, CASE WHEN label = 1 THEN round((
              SELECT CAST(sum(1 - label) AS DOUBLE) / greatest(sum(label), 1) FROM labelled), 6)

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import model_queries, products
-from checks.standins import BANNER, CALENDAR_START, EVENT_WEEK, FEATURE_WEEK, Standins
+from checks.standins import BANNER, CALENDAR_START, EVENT_WEEK, FEATURE_WEEK, OFFER_YEARS, Standins
 from footfall.functions.weeks import previous_year_week, week_number, week_year
 from footfall.operators import audit, metrics, sampling
 from footfall.operators.calendar_join import join_weeks
 from footfall.operators.impute import median_fill
-from footfall.plans import experiment, profiles, transactions
+from footfall.plans import experiment, profiles, promo, transactions
 from footfall.session import cut_lineage, scratch_path
 from footfall.sources import tables
+from footfall.sources.offers import read_offer_years
 
 Query = Callable[[Standins], DataFrame]
 
@@ -127,6 +128,51 @@ def snapshot_roundtrip(s: Standins) -> DataFrame:
     return weeks[0].unionByName(weeks[1])
 
 
+def queried_views(s: Standins) -> DataFrame:
+    """Offer impressions through the SQL reader: mapping join, half-open dates, any channel, banner list."""
+    seen = tables.read_query(
+        s.spark,
+        """
+        SELECT m.customer_id_hashed AS epsilon_id, v.p_banner, v.p_trans_dateid AS view_date,
+               count(*) AS impressions
+        FROM {views} v JOIN {mapping} m ON v.customerid = m.epcl_id
+        WHERE v.p_trans_dateid >= :first AND v.p_trans_dateid < :end AND v.p_banner IN ('B1')
+          AND coalesce(v.triangle_website_view_date, v.triangle_app_view_date, v.email_view_date,
+                       v.ctr_website_view_date, v.ctr_odp_website_view, v.ctr_app_view_date) IS NOT NULL
+        GROUP BY m.customer_id_hashed, v.p_banner, v.p_trans_dateid
+        """,
+        {"views": s.views(), "mapping": s.id_mapping()},
+        {"first": EVENT_WEEK.days_before(14), "end": EVENT_WEEK.start},
+    )
+    return seen
+
+
+def offer_files_roundtrip(s: Standins) -> DataFrame:
+    """Offers written as one CSV folder per year and ingested again."""
+    folder = scratch_path(s.spark, "offers")
+    raw = s.adhoc_offers()
+    for year in OFFER_YEARS:
+        of_year = raw.filter(F.year("Start Date") == year)
+        of_year.write.option("header", True).csv(f"{folder}/{year}.csv")
+    return read_offer_years(s.spark, folder, OFFER_YEARS)
+
+
+def csv_sample_roundtrip(s: Standins) -> DataFrame:
+    """The stratified CSV export of orders, read back."""
+    path = scratch_path(s.spark, "sample")
+    orders = s.table("orders").select("o_orderkey", "o_orderstatus")
+    tables.export_sample_csv(orders, path, "o_orderkey", "o_orderstatus", 0.02)
+    return s.spark.read.option("header", True).schema("o_orderkey long, o_orderstatus string").csv(path)
+
+
+def feature_export_roundtrip(s: Standins) -> DataFrame:
+    """Ids, features and label of the labelled customers, exported in bounded files and read back."""
+    path = scratch_path(s.spark, "features")
+    features = ["days_since_last_purchase", "total_purchases"]
+    tables.export_features(products.labelled_customers(s), path, ["epsilon_id"], features, "purchase_flag")
+    return tables.read_table(s.spark, path)
+
+
 SQL_CHECKED: dict[str, tuple[Query, int]] = {
     "week_calendar": (week_calendar, 6),
     "clean_transactions": (lambda s: transactions.with_previous_date(products.clean(s)), 4),
@@ -153,6 +199,10 @@ SQL_CHECKED: dict[str, tuple[Query, int]] = {
         lambda s: products.promo_history(s).groupBy("deal_yr").agg(F.sum("npp_flag").alias("flagged_weeks")),
         6,
     ),
+    "promo_without_oldest": (
+        lambda s: promo.without_oldest_weeks(products.promo_history(s), FEATURE_WEEK.identifier),
+        6,
+    ),
     "promo_matrix": (products.promo_matrix, 6),
     "purchase_labels": (products.purchase_labels, 6),
     "labelled_customers": (products.labelled_customers, 6),
@@ -205,6 +255,10 @@ SQL_CHECKED: dict[str, tuple[Query, int]] = {
     "standard_scale": (model_queries.standard_scale, 4),
     "class_weights": (model_queries.weighted_rows, 6),
     "write_snapshot_roundtrip": (snapshot_roundtrip, 6),
+    "queried_views": (queried_views, 6),
+    "offer_files_roundtrip": (offer_files_roundtrip, 6),
+    "csv_sample_roundtrip": (csv_sample_roundtrip, 6),
+    "feature_export_roundtrip": (feature_export_roundtrip, 6),
 }
 
 

@@ -14,7 +14,7 @@ from footfall.operators.metrics import roc_auc
 from footfall.operators.ordering import cut_points, hash_rank
 from footfall.operators.sampling import sample_up_to
 from footfall.operators.shape import top
-from footfall.session import scratch_path
+from footfall.session import cut_lineage, scratch_path
 
 IMPORTANCE_ROWS = 40
 SHAPLEY_ROWS = 20
@@ -46,7 +46,8 @@ def permutation_importance(
 
     ``vectors`` has ``key``, ``label`` and ``features``; hand it a stored table. Each repeat is one
     permutation: rows ranked by a seeded hash take their value from the row of the same rank in
-    another hash order. All features and repeats are scored in one pass.
+    another hash order. All features and repeats are scored in one pass, spread over the cluster
+    before the rows multiply, and stored so that the AUCs read scores instead of computing them.
     """
     spark = vectors.sparkSession
     rows = vectors.select(key, "label", vector_to_array("features").alias("x"))
@@ -61,13 +62,13 @@ def permutation_importance(
 
     shuffled = (
         receivers.join(donors, "rank")
+        .repartition(spark.sparkContext.defaultParallelism, key, "repeat")
         .withColumn("feature_index", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
         .select("repeat", "feature_index", "label", array_to_vector(F.transform("x", replaced)).alias("features"))
     )
-    plain = learner.transform(vectors).select("label", vector_to_array("probability")[1].alias("p"))
-    rescored = learner.transform(shuffled).select(
-        "repeat", "feature_index", "label", vector_to_array("probability")[1].alias("p")
-    )
+    chance = vector_to_array("probability")[1].alias("p")
+    plain = cut_lineage(learner.transform(vectors).select("label", chance))
+    rescored = cut_lineage(learner.transform(shuffled).select("repeat", "feature_index", "label", chance))
     cuts = cut_points(plain, ["p"])["p"]
     before = roc_auc(plain, "label", "p", cuts=cuts).scalar()
     after = roc_auc(rescored, "label", "p", ["repeat", "feature_index"], cuts=cuts)

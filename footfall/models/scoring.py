@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.operators.metrics import roc_auc
+from footfall.session import cut_lineage
 
 
 def score(
@@ -31,7 +32,8 @@ def held_out_predictions(model: PipelineModel, held_out: DataFrame, key: str = "
 def model_comparison(models: Mapping[str, PipelineModel], rows: DataFrame) -> DataFrame:
     """Validation and test ROC-AUC per model, best validation first.
 
-    ``rows`` carry ``split`` and ``label``. All models are measured in one job.
+    ``rows`` carry ``split`` and ``label``. The scores of all models are stored once and measured
+    together.
     """
     scored = [
         score(model, rows.filter("split <> 'train'"), ["split", "label"], "p").withColumn("model", F.lit(name))
@@ -41,7 +43,7 @@ def model_comparison(models: Mapping[str, PipelineModel], rows: DataFrame) -> Da
     for more in scored[1:]:
         stacked = stacked.unionByName(more)
     return (
-        roc_auc(stacked, "label", "p", ["model", "split"])
+        roc_auc(cut_lineage(stacked), "label", "p", ["model", "split"])
         .groupBy("model")
         .pivot("split", ["validation", "test"])
         .agg(F.round(F.first("roc_auc"), 4))

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.context import Week
 from footfall.functions.dates import day
@@ -44,7 +44,8 @@ def promo_history(
     ``offers`` are already :func:`qualifying`. Year and number come from the calendar.
     """
     weeks = calendar.filter(F.col("deal_yr").between(first_year, last_year))
-    first, last = dt.date(first_year - 1, 12, 25), dt.date(last_year, 12, 31)
+    # A deal year may start or end up to a year away from the calendar year of its number.
+    first, last = dt.date(first_year - 1, 1, 1), dt.date(last_year + 1, 12, 31)
     find = weeks_by_day if by_day else weeks_overlapping
     flagged = find(offers, weeks, first, last).withColumn("npp_flag", F.lit(1))
     return (
@@ -55,6 +56,19 @@ def promo_history(
     )
 
 
+def without_oldest_weeks(promo: DataFrame, up_to: str, weeks: int = 2) -> DataFrame:
+    """Rows up to a week, less the ``weeks`` smallest distinct week ids.
+
+    The ranked ids are distinct weeks of the calendar, a few thousand at most.
+    """
+    kept = promo.filter(F.col("week_identifier") <= up_to)
+    place = F.row_number().over(Window.orderBy("week_identifier"))
+    oldest = (
+        kept.select("week_identifier").distinct().withColumn("place", place).filter(F.col("place") <= weeks)
+    )
+    return kept.join(F.broadcast(oldest.select("week_identifier")), "week_identifier", "left_anti")
+
+
 def promo_matrix(promo: DataFrame, calendar: DataFrame, week: Week, weeks: int) -> DataFrame:
     """One row with ``{n}_weeks_back_NPP_npp_flag`` for n = 1..weeks; weeks without data are 0."""
     back = weeks_between(day(week.start), F.col("start_date"))
