@@ -44,7 +44,8 @@ def offer_views(
 ) -> DataFrame:
     """Days in ``[first, end)`` on which an active customer saw an offer on any channel.
 
-    Impressions shrink to one row per customer, banner and day before either join.
+    Impressions shrink to one row per customer, banner and day before they meet the customers, and
+    the two customer tables are joined to each other first, so views are joined once.
     """
     seen = (
         views.filter(
@@ -56,9 +57,13 @@ def offer_views(
         .select(F.col("customerid").alias("epcl_id"), "p_banner", F.col("p_trans_dateid").alias("view_date"))
         .distinct()
     )
-    return (
-        seen.join(mapping.select("epcl_id", F.col("customer_id_hashed").alias("epsilon_id")), "epcl_id")
+    viewers = (
+        mapping.select("epcl_id", F.col("customer_id_hashed").alias("epsilon_id"))
         .join(active_ids(active_customers), "epsilon_id")
+        .select("epcl_id", "customerid")
+    )
+    return (
+        seen.join(viewers, "epcl_id")
         .select("customerid", "p_banner", "view_date")
         .distinct()
         .withColumn("view_ind", F.lit(1))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.dates import date_from_id, date_id, day
+from footfall.plans.transactions import newest
 
 WINDOWS = (30, 60, 90, 120, 365)
 BY_CARD = ("cardnumber", "banner")
@@ -117,7 +118,7 @@ def purchase_profile(
 def card_points(summary: DataFrame, as_of: dt.date, windows: Sequence[int] = WINDOWS) -> DataFrame:
     """Point sums per look-back window, dates and newest balance per card and banner."""
     age = F.datediff(day(as_of), F.col("tx_date"))
-    newest = F.struct("p_trans_dateid", "lms_transaction_id")
+    order = newest(summary)
     sums = [
         _within(d, age, F.col(column)).alias(f"{name}_last_{d}_days")
         for d in windows
@@ -126,8 +127,8 @@ def card_points(summary: DataFrame, as_of: dt.date, windows: Sequence[int] = WIN
     return summary.groupBy(*BY_CARD).agg(
         F.max("registerdate").alias("register_date"),
         F.max("enrolldate").alias("enroll_date"),
-        F.max_by("dollarbalance", newest).alias("dollarbalance"),
-        F.max(newest).alias("_newest"),
+        F.max_by("dollarbalance", order).alias("dollarbalance"),
+        F.max(order).alias("_newest"),
         *sums,
     )
 

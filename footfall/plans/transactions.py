@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.dates import date_from_id, epoch_seconds, text_id
 from footfall.functions.ids import hashed_id
@@ -115,7 +115,20 @@ def purchase_gaps(transactions: DataFrame) -> DataFrame:
     return with_previous_date(transactions).withColumn("gap_days", F.datediff("tx_date", "prev_tx_date"))
 
 
+def newest(rows: DataFrame, at: str = "tx_date", row_id: str = "lms_transaction_id") -> Column:
+    """Sort key: by date, and by id within a date.
+
+    Whole-number ids are packed behind the day into one decimal, whose fixed width keeps the
+    aggregation a hash aggregation; for other ids it is a struct.
+    """
+    if dict(rows.dtypes)[row_id] not in ("tinyint", "smallint", "int", "bigint"):
+        return F.struct(at, row_id)
+    apart = F.lit(str(2 * 10**19)).cast("decimal(20,0)")
+    return F.unix_date(at).cast("decimal(10,0)") * apart + F.col(row_id).cast("decimal(20,0)")
+
+
 def recent_balance(summary: DataFrame, keys: Sequence[str] = CARD) -> DataFrame:
     """Balance after the latest transaction of each key; the greater id wins within a day."""
-    newest = F.struct("p_trans_dateid", "lms_transaction_id")
-    return summary.groupBy(*keys).agg(F.max_by("dollarbalance", newest).alias("dollarbalance"))
+    return summary.groupBy(*keys).agg(
+        F.max_by("dollarbalance", newest(summary)).alias("dollarbalance")
+    )

@@ -135,6 +135,17 @@ def test_greater_id_wins_among_equal_dates(spark):
     assert (row.dollarbalance, row.base_points_last_30_days, row.base_points_last_60_days) == (3.0, 2.0, 3.0)
 
 
+def test_newest_orders_by_date_then_id_for_any_id_type(spark):
+    rows = [("2001-01-01", 9), ("2001-01-02", -5), ("2001-01-02", 2**62), ("1960-01-01", 2**63 - 1)]
+    frame = spark.createDataFrame(rows, "d string, i long").withColumn("d", F.col("d").cast("date"))
+    as_text = frame.withColumn("i", F.col("i").cast("string"))
+    for source in (frame, as_text):
+        best = source.agg(F.max_by("i", transactions.newest(source, "d", "i")).alias("i")).first().i
+        assert int(best) == 2**62
+    ordered = frame.orderBy(transactions.newest(frame, "d", "i")).collect()
+    assert [(str(r.d), r.i) for r in ordered] == sorted(rows)
+
+
 def test_history_matrix_positions(spark):
     calendar = regular_calendar(spark, dt.date(1994, 12, 31), 1518)
     rows = [purchase("A1", "20010629", 1), purchase("A1", "20010622", 2), purchase("A1", "19990703", 3)]
