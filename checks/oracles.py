@@ -397,23 +397,37 @@ _FEATURE_INTS = (
     + [f"deal_season_num_{n}" for n in range(1, 5)]
 )
 
-FEATURES = f"""
-SELECT e.*, pt.epcl_profileid, CAST(pt.register_date AS VARCHAR) AS register_date,
-       CAST(pt.enroll_date AS VARCHAR) AS enroll_date,
-       pr.first_purchase_date, pr.last_purchase_date,
-       {", ".join(f'round(coalesce("{c}", 0), 4) AS "{c}"' for c in _FEATURE_DOUBLES)},
-       {", ".join(f'coalesce("{c}", 0) AS "{c}"' for c in _FEATURE_INTS)},
-       {", ".join(f'CASE WHEN pr.epsilon_id IS NULL THEN 0 ELSE round(coalesce(CAST(pr.{c} AS DOUBLE), md.{c}), 4) END AS {c}' for c in GAPS)},
-       n.*, coalesce(l.purchase_flag, 'N') AS purchase_flag
-FROM (SELECT * FROM embedded QUALIFY row_number() OVER (PARTITION BY epsilon_id ORDER BY lightfm_id) = 1) e
-JOIN points pt ON pt.epsilon_id = e.epsilon_id
-LEFT JOIN profile pr ON pr.epsilon_id = e.epsilon_id
-LEFT JOIN matrix m ON m.epsilon_id = e.epsilon_id
-LEFT JOIN seasons s ON s.epsilon_id = e.epsilon_id
-LEFT JOIN labelled_buyers l ON l.epsilon_id = e.epsilon_id
-CROSS JOIN promo_row n
-CROSS JOIN (SELECT {", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in GAPS)} FROM profile) md
-"""
+def _features(join: str, more: str = "") -> str:
+    """Feature matrix; customers without a point profile, if kept, have NULL profile columns."""
+
+    def filled(column: str) -> str:
+        return f"CASE WHEN pt.epsilon_id IS NOT NULL THEN {column} END"
+
+    doubles = ", ".join(
+        f"{filled(f'round(coalesce({chr(34)}{c}{chr(34)}, 0), 4)')} AS {chr(34)}{c}{chr(34)}" for c in _FEATURE_DOUBLES
+    )
+    ints = ", ".join(f"{filled(f'coalesce({chr(34)}{c}{chr(34)}, 0)')} AS {chr(34)}{c}{chr(34)}" for c in _FEATURE_INTS)
+    gaps = ", ".join(
+        f"""{filled(f"""CASE WHEN pr.epsilon_id IS NULL THEN 0
+        ELSE round(coalesce(CAST(pr.{c} AS DOUBLE), md.{c}), 4) END""")} AS {c}"""
+        for c in GAPS
+    )
+    medians = ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in GAPS)
+    return f"""
+    SELECT e.*, pt.epcl_profileid, CAST(pt.register_date AS VARCHAR) AS register_date,
+           CAST(pt.enroll_date AS VARCHAR) AS enroll_date, pr.first_purchase_date, pr.last_purchase_date,
+           {doubles}, {ints}, {gaps}, {more} n.*, coalesce(l.purchase_flag, 'N') AS purchase_flag
+    FROM (SELECT * FROM embedded QUALIFY row_number() OVER (PARTITION BY epsilon_id ORDER BY lightfm_id) = 1) e
+    {join} JOIN points pt ON pt.epsilon_id = e.epsilon_id
+    LEFT JOIN profile pr ON pr.epsilon_id = pt.epsilon_id
+    LEFT JOIN matrix m ON m.epsilon_id = pt.epsilon_id
+    LEFT JOIN seasons s ON s.epsilon_id = pt.epsilon_id
+    LEFT JOIN labelled_buyers l ON l.epsilon_id = e.epsilon_id
+    LEFT JOIN statistics st ON st.epsilon_id = e.epsilon_id
+    CROSS JOIN promo_row n
+    CROSS JOIN (SELECT {medians} FROM profile) md
+    """
+
 
 CTES: dict[str, str] = {
     "calendar": CALENDAR,
@@ -452,7 +466,10 @@ CTES: dict[str, str] = {
     "fine_curve": _curve("score_fine"),
     "segmented": SEGMENTED,
     "segment_curve": _curve("score", "segmented", "segment"),
-    "features": FEATURES,
+    "features": _features("INNER"),
+    "features_unprofiled": _features(
+        "LEFT", "st.weeks_views, st.shop_view_weeks, round(st.lambda_views, 4) AS lambda_views, "
+    ),
 }
 
 
@@ -565,6 +582,11 @@ STATEMENTS: dict[str, str] = {
         FROM statistics""",
     "embedding_table": "SELECT * FROM embedded",
     "feature_matrix": "SELECT * FROM features",
+    "score_matrix": "SELECT * EXCLUDE (purchase_flag) FROM features",
+    "feature_matrix_unprofiled": "SELECT * FROM features_unprofiled",
+    "labelled_embeddings": "SELECT e.*, coalesce(l.purchase_flag, 'N') AS purchase_flag, "
+    "CASE WHEN l.purchase_flag = 'Y' THEN 1 ELSE 0 END AS label "
+    "FROM embedded e LEFT JOIN labelled_buyers l ON l.epsilon_id = e.epsilon_id",
     "null_audit": "SELECT column_name, CAST(nulls AS BIGINT) AS null_count FROM ("
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls FROM profile"

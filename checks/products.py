@@ -17,6 +17,8 @@ from checks.standins import (
     Standins,
 )
 from footfall.context import Week
+from footfall.operators.audit import require_columns
+from footfall.operators.impute import default_label
 from footfall.plans import affinity, embeddings, experiment, features, history, labels, likelihood, offers
 from footfall.plans import profiles, promo, transactions
 from footfall.session import cut_lineage
@@ -88,26 +90,54 @@ def embedding_table(s: Standins) -> DataFrame:
     return embeddings.embedding_table(s.embedding_segments(), EMBEDDING_WIDTH)
 
 
-def feature_matrix(s: Standins) -> DataFrame:
-    """Training matrix.
+def customer_summary(s: Standins) -> DataFrame:
+    """Point profiles with purchases, weeks and seasons.
 
     The customers' purchase days feed the profile and both matrices, and the medians read the profile
     several times, so each of the two is stored once.
     """
     days = cut_lineage(customer_days(s))
     profile = cut_lineage(profiles.purchase_profile(days, FEATURE_WEEK.start))
-    customer_summary = features.customer_summary(
+    return features.customer_summary(
         point_profile(s),
         features.filled_purchase_profile(profile, BANNER),
         purchase_matrix(s, days),
         season_matrix(s, days),
         BANNER,
     )
+
+
+def feature_matrix(s: Standins) -> DataFrame:
+    """Training matrix: customers with an embedding and a profile, and their label."""
     return features.feature_matrix(
-        embedding_table(s), customer_summary, promo_matrix(s), purchase_labels(s)
+        embedding_table(s), customer_summary(s), promo_matrix(s), purchase_labels(s)
     )
 
 
+def score_matrix(s: Standins) -> DataFrame:
+    """The same columns without the label."""
+    return features.feature_matrix(embedding_table(s), customer_summary(s), promo_matrix(s))
+
+
+def feature_matrix_unprofiled(s: Standins) -> DataFrame:
+    """Every customer with an embedding, profiled or not, with the view statistics."""
+    return features.feature_matrix(
+        embedding_table(s),
+        customer_summary(s),
+        promo_matrix(s),
+        purchase_labels(s),
+        keep_unprofiled=True,
+        statistics=statistic_features(s),
+    )
+
+
+def labelled_embeddings(s: Standins) -> DataFrame:
+    """Embeddings and label only, all rows of all segments."""
+    table = require_columns(embedding_table(s), [f"latent_{i}" for i in range(EMBEDDING_WIDTH)])
+    flags = purchase_labels(s).select("epsilon_id", "purchase_flag")
+    return features.with_target(default_label(table.join(flags, "epsilon_id", "left"), "purchase_flag"))
+
+
 def customer_base(s: Standins) -> DataFrame:
     return affinity.customer_base(s.active_customers(), s.calendar(), EVENT_WEEK, BANNER)
 

@@ -137,8 +137,8 @@ def queried_views(s: Standins) -> DataFrame:
                count(*) AS impressions
         FROM {views} v JOIN {mapping} m ON v.customerid = m.epcl_id
         WHERE v.p_trans_dateid >= :first AND v.p_trans_dateid < :end AND v.p_banner IN ('B1')
-          AND coalesce(v.triangle_website_view_date, v.triangle_app_view_date, v.email_view_date,
-                       v.ctr_website_view_date, v.ctr_odp_website_view, v.ctr_app_view_date) IS NOT NULL
+          AND coalesce(v.program_website_view_date, v.program_app_view_date, v.email_view_date,
+                       v.banner_website_view_date, v.banner_page_view_date, v.banner_app_view_date) IS NOT NULL
         GROUP BY m.customer_id_hashed, v.p_banner, v.p_trans_dateid
         """,
         {"views": s.views(), "mapping": s.id_mapping()},
@@ -213,6 +213,9 @@ SQL_CHECKED: dict[str, tuple[Query, int]] = {
     "statistic_features": (products.statistic_features, 6),
     "embedding_table": (products.embedding_table, 6),
     "feature_matrix": (products.feature_matrix, 4),
+    "score_matrix": (products.score_matrix, 4),
+    "feature_matrix_unprofiled": (products.feature_matrix_unprofiled, 4),
+    "labelled_embeddings": (products.labelled_embeddings, 6),
     "null_audit": (lambda s: audit.null_audit(products.purchase_profile(s)), 6),
     "median_fill": (median_filled, 4),
     "class_balance": (lambda s: audit.class_balance(products.labelled_customers(s), "label"), 6),

@@ -129,12 +129,12 @@ class Standins:
             .filter("event_type <> 'purchase'")
             .select(
                 F.col("user_id").alias("customerid"),
-                on("view").alias("triangle_website_view_date"),
-                on("click").alias("triangle_app_view_date"),
+                on("view").alias("program_website_view_date"),
+                on("click").alias("program_app_view_date"),
                 on("signup").alias("email_view_date"),
-                never.alias("ctr_website_view_date"),
-                never.alias("ctr_odp_website_view"),
-                never.alias("ctr_app_view_date"),
+                never.alias("banner_website_view_date"),
+                never.alias("banner_page_view_date"),
+                never.alias("banner_app_view_date"),
                 F.lit(BANNER).alias("p_banner"),
                 day.alias("p_trans_dateid"),
             )

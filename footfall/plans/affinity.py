@@ -15,12 +15,12 @@ from footfall.operators.shape import attach_one_row
 from footfall.plans.transactions import with_previous_date
 
 VIEW_CHANNELS = (
-    "triangle_website_view_date",
-    "triangle_app_view_date",
+    "program_website_view_date",
+    "program_app_view_date",
     "email_view_date",
-    "ctr_website_view_date",
-    "ctr_odp_website_view",
-    "ctr_app_view_date",
+    "banner_website_view_date",
+    "banner_page_view_date",
+    "banner_app_view_date",
 )
 WEEK_KEYS = ("customerid", "deal_yr", "deal_wk", "p_banner")
 BASE_DAYS = 372
@@ -41,6 +41,7 @@ def offer_views(
     banners: Sequence[str],
     first: dt.date,
     end: dt.date,
+    channels: Sequence[str] = VIEW_CHANNELS,
 ) -> DataFrame:
     """Days in ``[first, end)`` on which an active customer saw an offer on any channel.
 
@@ -52,7 +53,7 @@ def offer_views(
             (F.col("p_trans_dateid") >= day(first))
             & (F.col("p_trans_dateid") < day(end))
             & F.col("p_banner").isin(list(banners))
-            & F.coalesce(*VIEW_CHANNELS).isNotNull()
+            & F.coalesce(*channels).isNotNull()
         )
         .select(F.col("customerid").alias("epcl_id"), "p_banner", F.col("p_trans_dateid").alias("view_date"))
         .distinct()
@@ -80,7 +81,8 @@ def transaction_base(
     """Every transaction with its customer, previous date and week.
 
     The account join is the last shuffle and nothing after it asks for its partitioning, so adaptive
-    execution is free to split the partition of a very active card.
+    execution is free to split the partition of a very active card, given accounts straight from a
+    table (not from an aggregate by card).
     """
     rows = (
         with_previous_date(transactions)
@@ -172,7 +174,8 @@ def statistic_features(
 
     ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Only active customers with a purchase up to the start of ``week`` are listed. A week without
     activity adds nothing to any sum, so the customers x weeks base is never built: views and
-    transactions are stacked, reduced to customer and week, then to customer.
+    transactions are stacked, reduced to customer and week, then to customer. The window holds the
+    starts of 53 weeks, but views end before the last of them, so the rate over 52 stays within 1.
     """
     stacked = views.select(
         "customerid",

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.functions.dates import date_from_id, date_id, day
+from footfall.functions.dates import date_id, day
 from footfall.plans.transactions import newest
 
 WINDOWS = (30, 60, 90, 120, 365)
@@ -153,10 +153,3 @@ def point_profile(
         F.max_by("dollarbalance", "_newest").alias("dollarbalance"),
         *[F.sum(c).alias(c) for c in sums],
     )
-
-
-def profile_dates(df: DataFrame) -> DataFrame:
-    """Turn the profile's date ids back into dates."""
-    return df.withColumns(
-        {c: date_from_id(c) for c in ("first_purchase_date", "last_purchase_date") if c in df.columns}
-    )

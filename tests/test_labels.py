@@ -12,6 +12,7 @@ from footfall.context import Week
 from footfall.functions.ids import hashed_id
 from footfall.plans import affinity, experiment, likelihood
 from footfall.plans.calendar import regular_calendar
+from footfall.session import cut_lineage
 
 WEEK = Week("2024_305", dt.date(2024, 1, 27), dt.date(2024, 2, 2))
 
@@ -143,3 +144,37 @@ def test_customer_with_several_rows_has_one_group(spark):
     assigned = experiment.assigned(new, previous)
     assert assigned.groupBy("customer_id").agg(F.count_distinct("group_flag").alias("n")).filter("n > 1").count() == 0
     assert experiment.final_labels(previous, assigned, "B1").count() == 20
+
+
+def test_a_very_active_card_is_split_in_the_account_join(spark):
+    """The plan of the one row-level join lets adaptive execution cut a hot partition."""
+    calendar = regular_calendar(spark, dt.date(1994, 12, 31), 1518)
+    first, last = dt.date(2023, 1, 1), dt.date(2024, 1, 26)
+    rows = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("A"), F.col("id").cast("string"))).alias("cardnumber"),
+        F.lit("B1").alias("banner"),
+        F.col("id").alias("lms_transaction_id"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 380).cast("int")).alias("tx_date"),
+        F.lit("20230101").alias("p_trans_dateid"),
+        F.lit(1.0).alias("sales"),
+        F.lit(0).cast("bigint").alias("tx_epoch"),
+    )
+    owners = cut_lineage(rows.select("cardnumber").distinct().withColumn("customerid", F.xxhash64("cardnumber")))
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    try:
+        for k, v in lowered.items():
+            spark.conf.set(k, v)
+        base = affinity.transaction_base(rows, owners, calendar, first, last)
+        assert len(base.collect()) == 60000
+        assert "skew=true" in base._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

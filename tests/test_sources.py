@@ -7,8 +7,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.functions.names import affix
 from footfall.operators.audit import null_audit, require_columns
 from footfall.plans.embeddings import embedding_table
+from footfall.plans.features import as_float
 from footfall.sources import offers, tables
 
 
@@ -107,3 +109,9 @@ def test_missing_columns_are_named(spark):
 def test_null_audit_lists_only_columns_with_nulls(spark):
     rows = spark.createDataFrame([(1, None, "a"), (2, 3.0, None), (3, None, "c")], "a int, b double, c string")
     assert {r.column_name: r.null_count for r in null_audit(rows).collect()} == {"b": 2, "c": 1}
+
+
+def test_affix_and_float_columns(spark):
+    rows = spark.createDataFrame([("a", 1.5, 2)], "k string, x double, y int")
+    assert affix(rows, "p_", "_s", keep=["k"]).columns == ["k", "p_x_s", "p_y_s"]
+    assert dict(as_float(rows, ["x", "y"]).dtypes) == {"k": "string", "x": "float", "y": "float"}
