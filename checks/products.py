@@ -93,7 +93,7 @@ def embedding_table(s: Standins) -> DataFrame:
 def customer_summary(s: Standins) -> DataFrame:
     """Point profiles with purchases, weeks and seasons.
 
-    The customers' purchase days feed the profile and both matrices, and the medians read the profile
+    The customers' purchase days feed the profile and the matrix, and the medians read the profile
     several times, so each of the two is stored once.
     """
     days = cut_lineage(customer_days(s))
@@ -101,8 +101,7 @@ def customer_summary(s: Standins) -> DataFrame:
     return features.customer_summary(
         point_profile(s),
         features.filled_purchase_profile(profile, BANNER),
-        purchase_matrix(s, days),
-        season_matrix(s, days),
+        history.week_and_season_matrix(purchase_history(s, days), s.calendar(), FEATURE_WEEK),
         BANNER,
     )
 

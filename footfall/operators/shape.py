@@ -21,18 +21,25 @@ def keep_one(df: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> Dat
     )
 
 
-def flag_matrix(df: DataFrame, key: str, position: str, positions: Sequence[int], name: str) -> DataFrame:
+def flag_matrix(df: DataFrame, key: str, pivots: Sequence[tuple[str, Sequence[int], str]]) -> DataFrame:
     """Pivot presence of (key, position) rows into 0/1 columns, one per declared position.
 
-    ``name`` is a pattern such as ``{}_weeks_back_purchase``. The positions present are gathered as
-    a set, never longer than the declared domain, so one shuffle on the key is enough.
+    Each pivot is (position column, declared positions, name pattern such as ``{}_weeks_back``). The
+    positions present are gathered as a set, never longer than the declared domain, so one shuffle
+    on the key serves all pivots.
     """
-    present = df.filter(F.col(position).isin(list(positions))).groupBy(key).agg(
-        F.collect_set(position).alias("_present")
-    )
-    return present.select(
-        key, *[F.array_contains("_present", p).cast("int").alias(name.format(p)) for p in positions]
+    inside = [F.when(F.col(p).isin(list(domain)), F.col(p)) for p, domain, _ in pivots]
+    present = (
+        df.filter(F.coalesce(*inside).isNotNull())
+        .groupBy(key)
+        .agg(*[F.collect_set(c).alias(f"_present_{i}") for i, c in enumerate(inside)])
     )
+    flags = [
+        F.array_contains(f"_present_{i}", p).cast("int").alias(name.format(p))
+        for i, (_, domain, name) in enumerate(pivots)
+        for p in domain
+    ]
+    return present.select(key, *flags)
 
 
 def as_one_row(df: DataFrame, position: str, value: str, positions: Sequence[int], name: str) -> DataFrame:

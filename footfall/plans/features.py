@@ -39,15 +39,11 @@ def filled_purchase_profile(purchases: DataFrame, banner: str) -> DataFrame:
 
 
 def customer_summary(
-    points: DataFrame,
-    filled_purchases: DataFrame,
-    purchase_matrix: DataFrame,
-    season_matrix: DataFrame,
-    banner: str,
+    points: DataFrame, filled_purchases: DataFrame, week_and_season_matrix: DataFrame, banner: str
 ) -> DataFrame:
     """Point profile of a banner with purchases, weeks and seasons attached; gaps are 0."""
     of_banner = points.filter(F.col("banner") == banner).drop("banner")
-    return zero_fill(left_chain(of_banner, [filled_purchases, purchase_matrix, season_matrix], "epsilon_id"))
+    return zero_fill(left_chain(of_banner, [filled_purchases, week_and_season_matrix], "epsilon_id"))
 
 
 def feature_matrix(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -42,34 +41,40 @@ def purchase_history(
     )
 
 
-def _with_calendar(history: DataFrame, calendar: DataFrame, first: dt.date, last: dt.date, *columns: str) -> DataFrame:
-    """Look weeks up by id; the date window bounds the broadcast side."""
-    weeks = calendar.filter(F.col("start_date").between(day(first), day(last))).select("week_identifier", *columns)
-    return history.join(F.broadcast(weeks), "week_identifier")
-
-
-def purchase_matrix(history: DataFrame, calendar: DataFrame, week: Week, weeks: int = WEEKS) -> DataFrame:
-    """0/1 columns ``{n}_weeks_back_purchase`` for n = 1..weeks, one row per customer.
+def week_and_season_matrix(
+    history: DataFrame, calendar: DataFrame, week: Week, weeks: int = WEEKS, seasons: Sequence[int] = SEASONS
+) -> DataFrame:
+    """0/1 columns ``{n}_weeks_back_purchase`` (n = 1..weeks) and ``deal_season_num_{n}`` per customer.
 
-    The columns come from the look-back, not from the data, so every run has the same ones; the
-    running week (n = 0) is left out.
+    The columns come from the look-back, not from the data, so every run has the same ones. Both
+    kinds cover the weeks before ``week``; the running week (n = 0) is left out. The date window
+    bounds the calendar rows that are broadcast.
     """
-    back = weeks_between(day(week.start), F.col("start_date"))
-    dated = _with_calendar(history, calendar, week.weeks_before(weeks), week.start, "start_date")
+    first, last = week.weeks_before(weeks), week.days_before(1)
+    looked_up = calendar.filter(F.col("start_date").between(day(first), day(last))).select(
+        "week_identifier",
+        weeks_between(day(week.start), F.col("start_date")).alias("weeks_back"),
+        "deal_season_num",
+    )
     return flag_matrix(
-        dated.withColumn("weeks_back", back),
+        history.join(F.broadcast(looked_up), "week_identifier"),
         "epsilon_id",
-        "weeks_back",
-        range(1, weeks + 1),
-        "{}_weeks_back_purchase",
+        [
+            ("weeks_back", range(1, weeks + 1), "{}_weeks_back_purchase"),
+            ("deal_season_num", seasons, "deal_season_num_{}"),
+        ],
     )
 
 
+def purchase_matrix(history: DataFrame, calendar: DataFrame, week: Week, weeks: int = WEEKS) -> DataFrame:
+    """The week columns alone."""
+    both = week_and_season_matrix(history, calendar, week, weeks)
+    return both.select("epsilon_id", *[c for c in both.columns if c.endswith("_weeks_back_purchase")])
+
+
 def season_matrix(
     history: DataFrame, calendar: DataFrame, week: Week, weeks: int = WEEKS, seasons: Sequence[int] = SEASONS
 ) -> DataFrame:
-    """0/1 columns ``deal_season_num_{n}`` over the weeks before ``week``."""
-    seasoned = _with_calendar(
-        history, calendar, week.weeks_before(weeks), week.days_before(1), "deal_season_num"
-    )
-    return flag_matrix(seasoned, "epsilon_id", "deal_season_num", seasons, "deal_season_num_{}")
+    """The season columns alone."""
+    both = week_and_season_matrix(history, calendar, week, weeks, seasons)
+    return both.select("epsilon_id", *[c for c in both.columns if c.startswith("deal_season_num_")])

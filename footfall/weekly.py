@@ -155,8 +155,7 @@ def feature_matrix(
     summary = features.customer_summary(
         store.snapshot("point_profile", week_identifier),
         features.filled_purchase_profile(store.snapshot("purchase_profile", week_identifier), store.banner),
-        history.purchase_matrix(bought, calendar, week, weeks),
-        history.season_matrix(bought, calendar, week, weeks),
+        history.week_and_season_matrix(bought, calendar, week, weeks),
         store.banner,
     )
     return features.feature_matrix(

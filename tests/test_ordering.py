@@ -116,7 +116,9 @@ def test_keep_one_takes_the_smallest(spark):
 
 def test_pivots_have_declared_columns(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 3), ("b", 9)], "k string, p int")
-    matrix = flag_matrix(rows, "k", "p", [1, 2, 3], "{}_back")
+    matrix = flag_matrix(rows, "k", [("p", [1, 2, 3], "{}_back")])
     assert [r.asDict() for r in matrix.collect()] == [{"k": "a", "1_back": 1, "2_back": 0, "3_back": 1}]
+    both = flag_matrix(rows, "k", [("p", [1, 2], "{}_back"), ("p", [9], "{}_far")]).orderBy("k").collect()
+    assert [tuple(r) for r in both] == [("a", 1, 0, 0), ("b", 0, 0, 1)]
     one = as_one_row(rows.withColumn("f", F.lit(1)), "p", "f", [1, 2], "{}_f")
     assert attach_one_row(rows.select("k"), one).first().asDict() == {"k": "a", "1_f": 1, "2_f": 0}
