@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from footfall.context import Week
 from footfall.functions.ids import hashed_id
-from footfall.functions.names import affix
 from footfall.functions.rates import sigmoid
 from footfall.plans.calendar import regular_calendar
 

@@ -22,8 +22,8 @@ def by_score(
 ) -> DataFrame:
     """Per distinct score: positives, negatives, their counts at or above it, and the totals.
 
-    Rows without a score are left out. Without ``cuts`` one pass at call time places the cut points; hand it a stored table then, if
-    scoring is costly.
+    Rows without a score are left out. Without ``cuts`` one pass at call time places the cut points;
+    hand it a stored table then, if scoring is costly.
     """
     if cuts is None:
         cuts = cut_points(scored.select(score), [score])[score]

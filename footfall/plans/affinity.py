@@ -140,7 +140,8 @@ def weekly_shop_view(
 ) -> DataFrame:
     """Per customer and week: shopped, viewed, both, number of shopping days, last one.
 
-    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Transactions and views shrink to one row per customer and week before the joins.
+    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Transactions and views
+    shrink to one row per customer and week before the joins.
     """
     shop, view = F.coalesce("shop_ind", F.lit(0)), F.coalesce("view_ind", F.lit(0))
     weekly_views = views.groupBy(*WEEK_KEYS).agg(F.max("view_ind").alias("view_ind"))
@@ -172,10 +173,11 @@ def statistic_features(
 ) -> DataFrame:
     """Weeks with a view, weeks with a view and a purchase, and the weekly view rate.
 
-    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Only active customers with a purchase up to the start of ``week`` are listed. A week without
-    activity adds nothing to any sum, so the customers x weeks base is never built: views and
-    transactions are stacked, reduced to customer and week, then to customer. The window holds the
-    starts of 53 weeks, but views end before the last of them, so the rate over 52 stays within 1.
+    ``transactions`` is a :func:`transaction_base` or :func:`shopping_days`. Only active customers
+    with a purchase up to the start of ``week`` are listed. A week without activity adds nothing to
+    any sum, so the customers x weeks base is never built: views and transactions are stacked, reduced
+    to customer and week, then to customer. The window holds the starts of 53 weeks, but views end
+    before the last of them, so the rate over 52 stays within 1.
     """
     stacked = views.select(
         "customerid",

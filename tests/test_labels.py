@@ -140,7 +140,10 @@ def test_customer_with_several_rows_has_one_group(spark):
         [(i % 20, f"e{i}", "H", "L") for i in range(100)],
         "customer_id long, epsilon_id string, shop_prob_label string, lift_label string",
     )
-    previous = spark.createDataFrame([(i, "B1", "L", "L") for i in range(20)], "customer_id long, banner string, shop_prob_label string, lift_label string")
+    previous = spark.createDataFrame(
+        [(i, "B1", "L", "L") for i in range(20)],
+        "customer_id long, banner string, shop_prob_label string, lift_label string",
+    )
     assigned = experiment.assigned(new, previous)
     assert assigned.groupBy("customer_id").agg(F.count_distinct("group_flag").alias("n")).filter("n > 1").count() == 0
     assert experiment.final_labels(previous, assigned, "B1").count() == 20
@@ -151,7 +154,9 @@ def test_a_very_active_card_is_split_in_the_account_join(spark):
     calendar = regular_calendar(spark, dt.date(1994, 12, 31), 1518)
     first, last = dt.date(2023, 1, 1), dt.date(2024, 1, 26)
     rows = spark.range(0, 60000, 1, 8).select(
-        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("A"), F.col("id").cast("string"))).alias("cardnumber"),
+        F.when(F.col("id") % 3 > 0, "hot")
+        .otherwise(F.concat(F.lit("A"), F.col("id").cast("string")))
+        .alias("cardnumber"),
         F.lit("B1").alias("banner"),
         F.col("id").alias("lms_transaction_id"),
         F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 380).cast("int")).alias("tx_date"),
