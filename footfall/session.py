@@ -1,32 +1,50 @@
-"""Session settings the library depends on."""
+"""Session settings the library depends on, and tables staged in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owned: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse's.
 
-    A machine-local folder is accepted only for a local master with nothing configured.
+    The warehouse is where Spark keeps tables, so it is shared wherever tables work at all.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="footfall-")
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; an enclosing ``staging`` removes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _owned:
+        _owned[-1].append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Own the stages written inside and remove them at the end, when every result must have been saved."""
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            remove_path(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
