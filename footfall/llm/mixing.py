@@ -21,6 +21,7 @@ from footfall.session import cut_lineage
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 SEED = "mix-1"
+MOST_BROADCAST = 100_000  # sources in a plan that is broadcast, a few MB
 
 _DIGITS = 3  # hexadecimal digits of the hash that each round resolves
 
@@ -92,6 +93,7 @@ def mixing_plan(
             "_extra", F.col("target") - F.col("whole") * F.col("source_size")
         )
     )
+    plan = bounded(plan)
     wanted = plan.select("source", "_extra", F.lit("").alias("_prefix"), F.lit(0).cast("long").alias("_before"))
     for digits in (_DIGITS, 2 * _DIGITS):
         here = _within(sized, wanted).withColumn("_next", F.substring("key", 1, digits))
@@ -113,6 +115,11 @@ def mixing_plan(
     return _null_safe(plan.drop("_extra"), cut, "left")
 
 
+def bounded(plan: DataFrame) -> DataFrame:
+    """A stored plan, marked for broadcast if it has few enough rows; the join shuffles otherwise."""
+    return F.broadcast(plan) if plan.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else plan
+
+
 def _null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join on source, null with null."""
     other = right.withColumnRenamed("source", "_source")
@@ -146,8 +153,8 @@ def mix(
     sized = cut_lineage(
         own.select("doc_id", "source", hash_key(seed).alias("key"), word_count(F.col("text")).alias("size"))
     )
-    plan = mixing_plan(sized.drop("doc_id"), weights, most_epochs)
-    return _null_safe(sized, plan, "inner").select(
+    plan = cut_lineage(mixing_plan(sized.drop("doc_id"), weights, most_epochs))
+    return _null_safe(sized, bounded(plan), "inner").select(
         "doc_id",
         "source",
         "size",
@@ -163,8 +170,8 @@ def mixed(
 ) -> DataFrame:
     """The mixture itself: every document as often as it is taken, with all its columns.
 
-    Only the plan, one row per source, is joined to the texts, so these are not shuffled as long as Spark
-    finds the plan small enough to broadcast.
+    Only the plan, one row per source, is joined to the texts; these are not shuffled unless there are more
+    than ``MOST_BROADCAST`` sources.
     """
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
@@ -175,7 +182,7 @@ def mixed(
     keyed = row.select("_row", "source", "text", hash_key(seed).alias("key"))
     sized = cut_lineage(keyed.select("source", "key", word_count(F.col("text")).alias("size")))
     plan = cut_lineage(mixing_plan(sized, weights, most_epochs))
-    counted = _null_safe(keyed.drop("text"), plan, "inner").withColumn("_times", repeats(most_epochs))
+    counted = _null_safe(keyed.drop("text"), bounded(plan), "inner").withColumn("_times", repeats(most_epochs))
     copies = counted.filter("_times > 0").select(
         "_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("_copy")
     )
