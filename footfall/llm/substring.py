@@ -177,7 +177,8 @@ def repeats(docs: DataFrame, least: int = LEAST_WORDS, anchor: int = ANCHOR) ->
             _find_anchors(least, anchor), "doc_id long, text_hash long, pos int, anchor long, context long"
         )
     )
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Key lists are stored before they are joined: Spark splits hot keys only of joins that read plain exchanges.
+    twice = cut_lineage(found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     seeds = cut_lineage(found.join(twice, "anchor"))
     place = F.struct("doc_id", "text_hash", "pos")
     classes = cut_lineage(
@@ -188,7 +189,9 @@ def repeats(docs: DataFrame, least: int = LEAST_WORDS, anchor: int = ANCHOR) ->
     covered = alike.select(
         "doc_id", "text_hash", F.greatest(F.col("pos") - side, F.lit(0)).alias("start"), (F.col("pos") + least).alias("end")
     )
-    differing = classes.groupBy("anchor").agg(F.count("*").alias("classes")).filter("classes > 1").select("anchor")
+    differing = cut_lineage(
+        classes.groupBy("anchor").agg(F.count("*").alias("classes")).filter("classes > 1").select("anchor")
+    )
     extended = classes.join(differing, "anchor").select("one.*", (F.col("n") == 1).cast("long").alias("alone"))
     listed = extended.groupBy("doc_id", "text_hash").agg(
         F.collect_set(F.col("pos").cast("long") * 2 + F.col("alone")).alias("listed")
@@ -199,7 +202,9 @@ def repeats(docs: DataFrame, least: int = LEAST_WORDS, anchor: int = ANCHOR) ->
             "doc_id long, text_hash long, pos int, alone boolean, anchor long, window long",
         )
     )
-    elsewhere = windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    elsewhere = cut_lineage(
+        windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    )
     ends = windows.filter("alone").join(elsewhere, ["anchor", "window"]).select(
         "doc_id", "text_hash", F.col("pos").alias("start"), (F.col("pos") + least).alias("end")
     )
