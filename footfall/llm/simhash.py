@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     results, an empty table an empty one; other columns are not looked at.
     """
     signed = cut_lineage(fingerprints(docs))
-    return signed.join(clusters(signed), "fp").select(
+    return signed.join(cut_lineage(clusters(signed)), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first_id").alias("component_id")
     )
 
@@ -180,10 +180,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Among rows that share the smallest id, or without ids, the one with the smallest hash of its text stays.
     """
     signed = cut_lineage(fingerprints(docs))
-    rooted = signed.join(clusters(signed).select("fp", "root"), "fp")
+    rooted = signed.join(cut_lineage(clusters(signed).select("fp", "root")), "fp")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    kept = rooted.groupBy("root").agg(F.min(order).alias("first")).select(
-        F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")
+    kept = cut_lineage(
+        rooted.groupBy("root").agg(F.min(order).alias("first")).select(
+            F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash")
+        )
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     row = docs.select(

@@ -235,7 +235,7 @@ def write_archives(pages: DataFrame, folder: str, least_revisit: int = LEAST_REV
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload")
     ).withColumn("digest", F.sha2("payload", 256))
     long_ones = records.filter(F.octet_length("payload") >= least_revisit)
-    firsts = (
+    firsts = cut_lineage(
         long_ones.groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .filter("n > 1 and first is not null")
