@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: A word, and what stands between words: ASCII blanks only, as ``bytes.split`` has them.
@@ -32,6 +33,12 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def objects(values: Iterable) -> pd.Series:
+    """A pandas column of Python objects. Texts that pandas takes as strings of its own may come in chunks,
+    which Spark's Arrow writer refuses."""
+    return pd.Series(list(values), dtype=object)
+
+
 def span_text(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 

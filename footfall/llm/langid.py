@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from footfall.llm.common import objects
+
 #: Production parameters: n-gram lengths in bytes, hash buckets, and the gap in score below which a text is ambiguous.
 LENGTHS = (2, 3, 4)
 BUCKETS = 1 << 14
@@ -72,7 +74,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             totals[lang] += counted(text)
     for lang, own in totals.items():
         at = np.flatnonzero(own)
-        yield pd.DataFrame({"lang": lang, "bucket": at, "n": own[at]})
+        yield pd.DataFrame({"lang": objects([lang] * len(at)), "bucket": at, "n": own[at]})
 
 
 def codewords(classes: int) -> np.ndarray:
@@ -158,7 +160,7 @@ def _predict(model: LanguageModel) -> Callable[[Iterator[pd.DataFrame]], Iterato
                 {
                     "doc_id": batch["doc_id"],
                     "held_out": batch["held_out"],
-                    "lang_pred": names[np.where(known_language, best, len(model.languages))],
+                    "lang_pred": objects(names[np.where(known_language, best, len(model.languages))]),
                     "score": np.where(known_language, score, 0.0),
                     "ambiguous": known_language & unsure,
                 }

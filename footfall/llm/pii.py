@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import span_digest, span_text
+from footfall.llm.common import objects, span_digest, span_text
 from footfall.session import cut_lineage
 
 Span = tuple[str, int, int]
@@ -382,8 +382,8 @@ def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
                 {
                     "doc_id": batch["doc_id"],
                     **{f"n_{kind}": [r[2][kind] for r in rows] for kind in KINDS},
-                    "base_sha256": [span_digest(r[0]) for r in rows],
-                    "spans": [span_text(r[1]) for r in rows],
+                    "base_sha256": objects(span_digest(r[0]) for r in rows),
+                    "spans": objects(span_text(r[1]) for r in rows),
                 }
             )
 

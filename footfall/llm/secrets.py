@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm.common import span_digest, span_text
+from footfall.llm.common import objects, span_digest, span_text
 
 Span = tuple[str, int, int]
 
@@ -139,7 +139,7 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, generated:
                 words = {w for w in re.findall(r"[A-Za-z0-9+/_=-]{6,}", " ".join(rest))}
                 texts.extend(sorted(words))
                 labels.extend([0] * len(words))
-            yield pd.DataFrame({"text": texts, "random": labels})
+            yield pd.DataFrame({"text": objects(texts), "random": labels})
 
     ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     chosen = docs.filter("text is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(
@@ -185,8 +185,8 @@ def _scan(model: RandomnessModel) -> Callable[[Iterator[pd.DataFrame]], Iterator
                 {
                     "doc_id": batch["doc_id"],
                     **{f"n_{kind}": [r[2][kind] for r in rows] for kind in KINDS},
-                    "base_sha256": [span_digest(r[1]) for r in rows],
-                    "spans": [span_text(r[0]) for r in rows],
+                    "base_sha256": objects(span_digest(r[1]) for r in rows),
+                    "spans": objects(span_text(r[0]) for r in rows),
                 }
             )
 

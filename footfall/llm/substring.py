@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import identified
+from footfall.llm.common import identified, objects
 from footfall.session import cut_lineage
 
 #: Production parameters: words of a repeat, and of an anchor.
@@ -235,7 +235,7 @@ def _strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n_removed.append(len(words) - len(kept))
             digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
         yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_sha256": digests}
+            {"doc_id": batch["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_sha256": objects(digests)}
         )
 
 
@@ -258,7 +258,7 @@ def _join_kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             b" ".join(text.split() if spans is None else kept_words(text.split(), np.asarray(spans, dtype=np.int64)))
             for text, spans in zip(batch["text"], batch["spans"])
         ]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "kept": [t.decode("utf-8", "replace") for t in texts]})
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "kept": objects(t.decode("utf-8", "replace") for t in texts)})
 
 
 def stripped(docs: DataFrame, least: int = LEAST_WORDS, anchor: int = ANCHOR) -> DataFrame:
