@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import math
 import struct
 import zipfile
 from collections.abc import Callable, Iterator
@@ -21,11 +22,12 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from footfall.llm.common import objects
 from footfall.session import cut_lineage
 
 #: Production parameters: payloads shorter than this are never revisits; bytes that one task reads of a package.
 LEAST_REVISIT = 100
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 8 << 20
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
 
@@ -217,13 +219,13 @@ def _write(folder: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
             package.close()
             stream.close()
             system.move(part, f"{inner}/{final}")
-            yield pd.DataFrame({"path": [f"{folder}/{final}"], "records": [len(index)]})
+            yield pd.DataFrame({"path": objects([f"{folder}/{final}"]), "records": [len(index)], "bytes": [at]})
 
     return run
 
 
 def write_archives(pages: DataFrame, folder: str, least_revisit: int = LEAST_REVISIT) -> DataFrame:
-    """Write every page as a record into packages below ``folder``: ``path, records``, one row per package.
+    """Write every page as a record into packages below ``folder``: ``path, records, bytes``, one row per package.
 
     Of equal payloads of at least ``least_revisit`` bytes the page with the smallest id is the response (all
     rows with that id, if it is repeated, and all rows if none has an id). A task writes its package under a
@@ -250,7 +252,7 @@ def write_archives(pages: DataFrame, folder: str, least_revisit: int = LEAST_REV
         F.when(again, F.col("first")).alias("refers_to"),
         F.when(again, "revisit").otherwise("response").alias("record_type"),
     )
-    return cut_lineage(typed.mapInPandas(_write(folder), "path string, records long"))
+    return cut_lineage(typed.mapInPandas(_write(folder), "path string, records long, bytes long"))
 
 
 def _list_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -263,7 +265,11 @@ def _list_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 listed = read_range(file, stored_at(file, members[INDEX]), members[INDEX].size)
             lines = [json.loads(line) for line in listed.splitlines()]
             yield pd.DataFrame(
-                {"path": path, "at": [start + x["offset"] for x in lines], "length": [x["length"] for x in lines]}
+                {
+                    "path": objects([path] * len(lines)),
+                    "at": [start + x["offset"] for x in lines],
+                    "length": [x["length"] for x in lines],
+                }
             )
 
 
@@ -298,18 +304,20 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(
         rows, columns=["page_id", "url", "record_type", "refers_to", "declared_bytes", "declared_digest", "payload"]
     )
-    return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+    texts = dict.fromkeys(["url", "record_type", "declared_digest", "payload"], object)
+    return frame.astype({"page_id": "Int64", "refers_to": "Int64", **texts})
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    """All records of the packages named in ``path``, fetched by byte range.
+    """All records of the packages named in ``path`` (``bytes`` long), fetched by byte range.
 
     ``page_id, url, record_type, refers_to, declared_bytes, declared_digest, payload``; a revisit has no
     payload of its own. Ranges are dealt out by package and position, so one large package is read by many
     tasks. A package that is cut short or broken raises. Target addresses come back percent-encoded.
     """
     listed = archives.select("path").mapInPandas(_list_records, "path string, at long, length long")
-    dealt = listed.repartition("path", F.floor(F.col("at") / RANGE_BYTES))
+    ranges = math.ceil((archives.agg(F.sum("bytes")).first()[0] or 0) / RANGE_BYTES)
+    dealt = listed.repartition(max(1, 2 * ranges), "path", F.floor(F.col("at") / RANGE_BYTES))
     return dealt.mapInPandas(
         _read_records,
         "page_id long, url string, record_type string, refers_to long, declared_bytes long, declared_digest string, "
