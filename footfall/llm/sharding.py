@@ -61,8 +61,8 @@ def _cuts(rows: DataFrame, leaves: DataFrame, n_dims: int) -> DataFrame:
     ]
     widest = F.greatest(*spreads)["d"] if len(spreads) > 1 else F.lit(0)
     nodes = inside.groupBy("node", "first", "count").agg((-widest).alias("dim"), F.sum("size").alias("total"))
-    wanted = nodes.select(
-        "node", "dim", (F.col("total") * F.floor(F.col("count") / 2) / F.col("count")).alias("goal")
+    wanted = cut_lineage(
+        nodes.select("node", "dim", (F.col("total") * F.floor(F.col("count") / 2) / F.col("count")).alias("goal"))
     )
     at = rows.join(F.broadcast(wanted), "node").withColumn("level", F.get(F.col("dims"), F.col("dim")))
     found = wanted.withColumn("before", F.lit(0).cast("long"))
@@ -80,7 +80,7 @@ def _cuts(rows: DataFrame, leaves: DataFrame, n_dims: int) -> DataFrame:
         reached = totals.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(ahead), F.lit(0)))
         last = reached.filter(F.col("before") < F.col("goal")).groupBy("node")
         best = F.max(F.struct(name, "before", "dim", "goal", *keys[1:])).alias("best")
-        found = last.agg(best).select("node", "best.*")
+        found = cut_lineage(last.agg(best).select("node", "best.*"))
     close = at.select("node", "level", "hash", "size").join(F.broadcast(found), ["node", "level"])
     close = close.filter(F.shiftrightunsigned(F.col("hash"), 48) == F.col("prefix"))
     by_hash = close.groupBy("node", "dim", "goal", "level", "prefix", "before", "hash").agg(F.sum("size").alias("size"))
@@ -127,13 +127,14 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, metadata: tuple[str, ...] =
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(F.col("doc_id"), text).alias("hash"),
             F.array(*[x.cast("int") for x in levels]).alias("dims"),
+            F.lit(0).alias("node"),
         )
     )
-    spark = docs.sparkSession
-    leaves = spark.range(1).select(
-        F.lit(0).alias("node"), F.lit(0).alias("first"), F.lit(shards).alias("count")
+    leaves = cut_lineage(
+        docs.sparkSession.range(1).select(
+            F.lit(0).alias("node"), F.lit(0).alias("first"), F.lit(shards).alias("count")
+        )
     )
-    rows = rows.withColumn("node", F.lit(0))
     for _ in range(math.ceil(math.log2(shards)) if shards > 1 else 0):
         cuts = cut_lineage(_cuts(rows, leaves, len(levels)))
         right = F.col("cut_dim").isNotNull() & ~F.coalesce(_goes_left(), F.lit(True))
@@ -142,7 +143,7 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, metadata: tuple[str, ...] =
         ).drop("cut_dim", "cut_level", "cut_prefix", "cut_low")
         half = F.floor(F.col("count") / 2).cast("int")
         whole = F.col("count") == 1
-        leaves = leaves.select(
+        split = leaves.select(
             F.explode(
                 F.array(
                     F.struct(
@@ -157,7 +158,8 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, metadata: tuple[str, ...] =
                     ),
                 )
             ).alias("leaf")
-        ).select("leaf.*").filter("count > 0")
+        ).select("leaf.*")
+        leaves = cut_lineage(split.filter("count > 0"))
     placed = rows.join(F.broadcast(leaves.select("node", F.col("first").alias("shard"))), "node")
     numbered = _numbered(placed.select("doc_id", "size", "text_crc32", "hash", F.col("shard").cast("int").alias("shard")))
     return numbered.select(
