@@ -12,10 +12,9 @@ WEEKS_PER_YEAR = 52
 
 
 def newest_threshold(performance: DataFrame, banner: str) -> DataFrame:
-    """One row: the threshold of the banner's most recent training run."""
-    return latest(
-        performance.filter(F.col("banner") == banner), ["optimal_threshold"], ["train_timestamp"]
-    )
+    """One row: the threshold of the banner's most recent training run that has one."""
+    known = performance.filter((F.col("banner") == banner) & F.col("optimal_threshold").isNotNull())
+    return latest(known, ["optimal_threshold"], ["train_timestamp", "optimal_threshold"])
 
 
 def likelihood_labels(
@@ -26,10 +25,11 @@ def likelihood_labels(
 ) -> DataFrame:
     """Shop label from the score, lift label from how much a view raises the chance to shop.
 
-    ``threshold`` is a one-row, one-column frame. Without views, or without statistics, the lift is
+    ``threshold`` is a one-row, one-column frame; none raises. Without views, or without statistics, the lift is
     NULL and its label L.
     """
     score = F.col("predicted_purchase_prob")
+    limit = F.coalesce(threshold.scalar(), F.raise_error(F.lit("no threshold is known")).cast("double"))
     shop_and_view = F.when(F.col("weeks_views") == 0, F.lit(0.0)).otherwise(
         at_least_one(F.col("shop_view_weeks") / WEEKS_PER_YEAR)
     )
@@ -38,7 +38,7 @@ def likelihood_labels(
         .join(statistics, "epsilon_id", "left")
         .withColumns(
             {
-                "shop_prob_label": F.when(score >= threshold.scalar(), "H").otherwise("L"),
+                "shop_prob_label": F.when(score >= limit, "H").otherwise("L"),
                 "prob_shop_n_view_exp_01w": shop_and_view,
                 "prob_view_exp_01w": at_least_one(F.col("lambda_views")),
             }

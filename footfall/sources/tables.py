@@ -19,8 +19,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, path: str, week_identifier: str) -> DataFrame:
-    """One week of a snapshot table; the filter selects a folder, so other weeks are not opened."""
-    return spark.read.parquet(path).filter(F.col(SNAPSHOT) == week_identifier).drop(SNAPSHOT)
+    """One week of a snapshot table with that week's own columns; other weeks are not opened."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{SNAPSHOT}={week_identifier}")
 
 
 def read_query(
