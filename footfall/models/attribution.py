@@ -7,18 +7,17 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import Transformer
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.operators.metrics import roc_auc
 from footfall.operators.ordering import cut_points, hash_rank
-from footfall.operators.sampling import sample_up_to
 from footfall.operators.shape import top
 from footfall.session import cut_lineage, scratch_path
 
 IMPORTANCE_ROWS = 40
 SHAPLEY_ROWS = 20
-SHAPLEY_SAMPLE = 10_000
 
 
 def _feature_names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -166,13 +165,14 @@ def shapley_summary(
     vectors: DataFrame,
     names: Sequence[str],
     key: str,
-    sample: int = SHAPLEY_SAMPLE,
     k: int = SHAPLEY_ROWS,
 ) -> DataFrame:
-    """Top features per class by the mean of ``sigmoid(base + shapley value)`` over sampled rows.
+    """Top features per class by the mean of ``base + shapley value`` as a probability, over all rows.
 
-    Class 0 is one minus class 1. Batches return sums per feature, never per-row values.
+    Boosted trees add up log-odds, which a sigmoid turns into probabilities; forests average probabilities
+    already. Class 0 is one minus class 1. Batches return sums per feature, never per-row values.
     """
+    log_odds = isinstance(learner, GBTClassificationModel)
     spark = vectors.sparkSession
     width = len(names)
     explain = shapley_batches(tree_paths(learner, spark), width)
@@ -180,11 +180,12 @@ def shapley_summary(
     def batch_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             base, phi = explain(np.stack(batch["x"].to_numpy()))
-            totals = (1.0 / (1.0 + np.exp(-(base + phi)))).sum(axis=0)
+            value = base + phi
+            totals = (1.0 / (1.0 + np.exp(-value)) if log_odds else value).sum(axis=0)
             yield pd.DataFrame({"feature_index": range(width), "total": totals, "rows": len(batch)})
 
     rows = (
-        sample_up_to(vectors.select(key, "features"), key, sample)
+        vectors.select(key, "features")
         .repartition(spark.sparkContext.defaultParallelism, key)
         .select(vector_to_array("features").alias("x"))
     )

@@ -35,14 +35,18 @@ def performance_record(
 ) -> DataFrame:
     """Metrics, threshold, settings and top features of one model, 23 fields.
 
-    ``held_out`` has ``actual``, ``predicted`` and ``predicted_proba``.
+    ``held_out`` has ``actual``, ``predicted`` and ``predicted_proba``. With one class only there is no area
+    under the curve and so no threshold: these fields are null.
     """
     report = classification_report(held_out, "actual", "predicted")
     with_auc = attach_one_row(report, roc_auc(held_out, "actual", "predicted_proba"))
     measured = attach_one_row(with_auc, optimal_threshold(held_out, "actual", "predicted_proba"))
+    ranked = F.col("roc_auc").isNotNull()
     return (
         measured.withColumns(
             {
+                "optimal_threshold": F.when(ranked, F.col("optimal_threshold")),
+                "optimal_f1": F.when(ranked, F.col("optimal_f1")),
                 "model_type": F.lit(model_type),
                 "banner": F.lit(banner),
                 "train_timestamp": F.lit(trained_at.strftime("%Y-%m-%d %H:%M:%S")),
@@ -78,5 +82,5 @@ def performance_record(
             "top_20_shap_features_class_0",
             "week_identifier",
         )
-        .na.fill(0)
+        .na.fill(0, [c for c in report.columns if c != "class"])
     )

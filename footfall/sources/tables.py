@@ -20,7 +20,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_snapshot(spark: SparkSession, path: str, week_identifier: str) -> DataFrame:
     """One week of a snapshot table with that week's own columns; other weeks are not opened."""
-    return spark.read.parquet(f"{path.rstrip('/')}/{SNAPSHOT}={week_identifier}")
+    own = spark.read.parquet(f"{path.rstrip('/')}/{SNAPSHOT}={week_identifier}").schema.add(SNAPSHOT, "string")
+    return spark.read.schema(own).parquet(path).filter(F.col(SNAPSHOT) == week_identifier).drop(SNAPSHOT)
 
 
 def read_query(

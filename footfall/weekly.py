@@ -175,11 +175,13 @@ def train(
     settings: Mapping[str, object] | None = None,
     trials: int = 0,
     space: Mapping[str, tuple] = tuning.BOOSTING_SPACE,
+    forest_settings: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Fit, measure and keep a model; returns the validation and test AUC per model.
 
-    With ``trials`` the settings come from a search. Boosted trees compete with a random forest; the
-    better one on validation rows is recorded, then fitted again on all rows and saved.
+    With ``trials`` the boosting ``settings`` come from a search. Boosted trees compete with a random forest;
+    the better one on validation rows is recorded with its own settings, then fitted again on all rows and
+    saved.
     """
     matrix = features.with_target(feature_matrix(store, feature_week, label_week))
     rows = cut_lineage(
@@ -197,7 +199,8 @@ def train(
         best_settings, _ = tuning.tune_boosting(flagged, names, fit_rows, KEY, space, trials)
         chosen = {**chosen, **best_settings}
         flagged = learners.boosted_trees(chosen, validation_flag="is_validation")
-    forest = {k: chosen[k] for k in ("n_estimators", "max_depth")} if settings else None
+    forest = {**learners.FOREST_DEFAULTS, **(forest_settings or {})}
+    used = {"boosted_trees": chosen, "random_forest": forest}
     models = {
         "boosted_trees": learners.fit_weighted(flagged, names, fit_rows),
         "random_forest": learners.fit_weighted(learners.random_forest(forest), names, train_rows),
@@ -209,7 +212,7 @@ def train(
     vectors = as_vectors(models[best], rows.filter("is_validation"), [KEY])
     shapley = attribution.shapley_summary(models[best].stages[-1], vectors, names.ordered, KEY)
     record = performance.performance_record(
-        held_out, shapley, best, store.banner, model_week, trained_at, names.ordered, chosen
+        held_out, shapley, best, store.banner, model_week, trained_at, names.ordered, used[best]
     )
     recency = test_rows.select(KEY, "days_since_last_purchase")
     by_segment = segment_metrics(

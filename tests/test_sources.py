@@ -115,3 +115,34 @@ def test_affix_and_float_columns(spark):
     rows = spark.createDataFrame([("a", 1.5, 2)], "k string, x double, y int")
     assert affix(rows, "p_", "_s", keep=["k"]).columns == ["k", "p_x_s", "p_y_s"]
     assert dict(as_float(rows, ["x", "y"]).dtypes) == {"k": "string", "x": "float", "y": "float"}
+
+
+def test_weeks_with_different_columns(spark, tmp_path):
+    path = str(tmp_path / "weekly")
+    tables.write_snapshot(spark.createDataFrame([(1, 2)], "a int, b int"), path, "2001_327")
+    tables.write_snapshot(spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), path, "2001_329")
+    assert tables.read_snapshot(spark, path, "2001_327").columns == ["a", "b"]
+    assert tables.read_snapshot(spark, path, "2001_329").columns == ["a", "b", "c"]
+
+
+def test_vectors_of_another_length_raise(spark):
+    from footfall.plans.embeddings import widen
+
+    vectors = spark.createDataFrame([(1, [0.5, 0.25]), (2, None)], "lightfm_id long, embedding array<float>")
+    assert [tuple(r) for r in widen(vectors, 2).orderBy("lightfm_id").collect()] == [(1, 0.5, 0.25), (2, None, None)]
+    with pytest.raises(Exception, match="vector of 1 numbers expected, found 2"):
+        widen(vectors, 1).collect()
+
+
+def test_no_threshold_raises(spark):
+    from footfall.plans import likelihood
+
+    log = spark.createDataFrame(
+        [("b", None, "2024-01-02"), ("b", 0.4, "2024-01-01"), ("c", 0.9, "2024-01-03")],
+        "banner string, optimal_threshold double, train_timestamp string",
+    )
+    assert [r[0] for r in likelihood.newest_threshold(log, "b").collect()] == [0.4]
+    scores = spark.createDataFrame([("x", 0.99)], "epsilon_id string, predicted_purchase_prob double")
+    views = spark.createDataFrame([("x", 1, 2, 0.5)], "epsilon_id string, weeks_views long, shop_view_weeks long, lambda_views double")
+    with pytest.raises(Exception, match="no threshold is known"):
+        likelihood.likelihood_labels(scores, views, likelihood.newest_threshold(log, "none")).collect()
