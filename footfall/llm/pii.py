@@ -62,7 +62,7 @@ def _digits(text: str) -> str:
 def valid(kind: str, text: str) -> bool:
     """Whether a match of a kind's pattern holds."""
     if kind == "ip":
-        return all(int(part[:12]) <= 255 for part in text.split("."))
+        return all(int(part.lstrip("0")[:4] or 0) <= 255 for part in text.split("."))
     if kind == "card":
         digits = _digits(text)
         return CARD_DIGITS[0] <= len(digits) <= CARD_DIGITS[1] and luhn(digits)

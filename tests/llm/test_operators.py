@@ -213,6 +213,7 @@ def test_personal(spark):
         (40, "mail a.b@x.example.com, 10.0.0.255 1.2.3.999, 4111 1111 1111 1111 +1 (555) 123-4567"),
         (41, "x@y a@b.c@d.e +12 4111111111111112 1.2.3.4.5.6.7.8"),
         (42, "9" * 3000 + "@" * 50),
+        (43, "0" * 20 + "300.1.1.1 " + "0" * 20 + "30.1.1.1 1.2.3." + "4" * 9000),
     ]
     frame = docs(spark, rows)
     found = {r["doc_id"]: r for r in pii.find_personal(frame, pii.fit(frame, 50, 200)).collect()}
@@ -221,6 +222,7 @@ def test_personal(spark):
     assert own["spans"].startswith("email:5:22,ip:24:34,card:46:65,phone:66:83")
     assert (found[41]["n_email"], found[41]["n_ip"], found[41]["n_card"]) == (1, 2, 0)
     assert found[42]["spans"] == "" and found[1]["spans"] == ""
+    assert found[43]["n_ip"] == 1
 
 
 def test_emails_are_leftmost_matches():
