@@ -64,7 +64,8 @@ SELECT 'A' || CAST(c_custkey AS VARCHAR) AS cardnumber, c_custkey AS customerid,
        md5(upper(trim(CAST(c_custkey AS VARCHAR)))) AS epsilon_id
 FROM customer
 UNION ALL
-SELECT 'B' || CAST(c_custkey AS VARCHAR), c_custkey, 'P' || CAST(c_custkey AS VARCHAR),
+SELECT 'B' || CAST(c_custkey AS VARCHAR), c_custkey,
+       CASE WHEN c_custkey % 20 = 0 THEN 'Q' ELSE 'P' END || CAST(c_custkey AS VARCHAR),
        md5(upper(trim(CAST(c_custkey AS VARCHAR))))
 FROM customer WHERE c_custkey % 10 = 0
 """
@@ -162,16 +163,27 @@ def _points(rows: str, keys: str) -> str:
     """
 
 
-CUSTOMER = "epcl_profileid, epsilon_id, banner"
+CUSTOMER = "epsilon_id, banner"
+
+
+def _with_profile_id(rows: str, profile: str) -> str:
+    return f"""
+    SELECT p.*, i.epcl_profileid FROM ({profile}) p
+    JOIN (SELECT {CUSTOMER}, min(epcl_profileid) AS epcl_profileid FROM {rows} GROUP BY {CUSTOMER}) i
+    ON i.epsilon_id = p.epsilon_id AND i.banner = p.banner
+    """
+
 
 OWNED_POINTS = """
 SELECT s.*, a.epcl_profileid, a.epsilon_id FROM summary s JOIN accounts a ON s.cardnumber = a.cardnumber
 """
 
 HISTORY = """
-SELECT DISTINCT o.epcl_profileid, o.epsilon_id, o.banner, c.week_identifier, c.start_date, c.deal_season_num
+SELECT min(o.epcl_profileid) AS epcl_profileid, o.epsilon_id, o.banner, c.week_identifier, c.start_date,
+       c.deal_season_num
 FROM owned o JOIN calendar c ON o.tx_date BETWEEN c.start_date AND c.end_date
 WHERE c.start_date >= DATE '2001-06-30' - 728 AND c.end_date <= DATE '2001-07-06'
+GROUP BY o.epsilon_id, o.banner, c.week_identifier, c.start_date, c.deal_season_num
 """
 
 MATRIX = (
@@ -225,9 +237,10 @@ PROMO_ROW = (
 )
 
 LABELS = """
-SELECT DISTINCT a.epcl_profileid, a.epsilon_id, l.banner, 'Y' AS purchase_flag
+SELECT min(a.epcl_profileid) AS epcl_profileid, a.epsilon_id, l.banner, 'Y' AS purchase_flag
 FROM lines l JOIN accounts a ON l.cardnumber = a.cardnumber
 WHERE l.p_trans_dateid BETWEEN '20010714' AND '20010720' AND l.transactiontype = 'Purchase' AND l.banner = 'B1'
+GROUP BY a.epsilon_id, l.banner
 """
 
 ACTIVE = """
@@ -439,8 +452,8 @@ CTES: dict[str, str] = {
     "summary": SUMMARY,
     "owned": OWNED,
     "owned_points": OWNED_POINTS,
-    "profile": _profile("owned", CUSTOMER),
-    "points": _points("owned_points", CUSTOMER),
+    "profile": _with_profile_id("owned", _profile("owned", CUSTOMER)),
+    "points": _with_profile_id("owned_points", _points("owned_points", CUSTOMER)),
     "history": HISTORY,
     "matrix": MATRIX,
     "seasons": SEASONS,

@@ -105,6 +105,12 @@ class Standins:
             F.explode(cards).alias("cardnumber"),
             key.alias("customerid"),
             F.concat(F.lit("P"), text).alias("epcl_profileid"),
+        ).withColumn(
+            "epcl_profileid",
+            F.when(
+                (F.col("customerid") % 20 == 0) & F.col("cardnumber").startswith("B"),
+                F.concat(F.lit("Q"), F.col("customerid").cast("string")),
+            ).otherwise(F.col("epcl_profileid")),
         )
 
     def active_customers(self) -> DataFrame:

@@ -12,7 +12,7 @@ from footfall.functions.weeks import weeks_between
 from footfall.operators.calendar_join import join_ranges, join_weeks
 from footfall.operators.shape import flag_matrix
 from footfall.plans.calendar import SEASONS
-from footfall.plans.profiles import BY_CUSTOMER
+from footfall.plans.profiles import BY_CUSTOMER, smallest_profile_id
 
 WEEKS = 104
 
@@ -35,9 +35,8 @@ def purchase_history(
     weeks_only = calendar.select("week_identifier", "start_date", "end_date")
     return (
         join(recent, "tx_date", weeks_only, first, last)
-        .select(*keys, "week_identifier")
-        .distinct()
-        .withColumn("made_purchase", F.lit(1))
+        .groupBy(*keys, "week_identifier")
+        .agg(F.lit(1).alias("made_purchase"), *smallest_profile_id(recent, keys))
     )
 
 

@@ -13,7 +13,7 @@ def purchase_labels(detail: DataFrame, accounts: DataFrame, banner: str, week: W
     return (
         buying_cards(detail, banner, week.start, week.end)
         .join(accounts, "cardnumber")
-        .select("epcl_profileid", "epsilon_id", "banner")
-        .distinct()
+        .groupBy("epsilon_id", "banner")
+        .agg(F.min("epcl_profileid").alias("epcl_profileid"))
         .withColumn("purchase_flag", F.lit("Y"))
     )

@@ -2,7 +2,7 @@
 
 Both exist per card and banner (``BY_CARD``) and per customer and banner (``BY_CUSTOMER``). The
 customer form is the one models use: it merges a customer's cards before measuring gaps and windows,
-instead of keeping one card's row.
+instead of keeping one card's row. A customer with several profile ids carries the smallest.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from footfall.plans.transactions import newest
 
 WINDOWS = (30, 60, 90, 120, 365)
 BY_CARD = ("cardnumber", "banner")
-BY_CUSTOMER = ("epcl_profileid", "epsilon_id", "banner")
+BY_CUSTOMER = ("epsilon_id", "banner")
 GAP_COLUMNS = (
     "days_since_last_purchase_p25",
     "days_since_last_purchase_p50",
@@ -48,6 +48,12 @@ def of_customers(by_card: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def smallest_profile_id(rows: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The profile id as an attribute of the key, where rows have one that is not part of it."""
+    name = "epcl_profileid"
+    return [F.min(name).alias(name)] if name in rows.columns and name not in keys else []
+
+
 def _within(days: int, age: Column, measure: Column) -> Column:
     return F.sum(F.when(age <= days, measure).otherwise(F.lit(0)))
 
@@ -101,6 +107,7 @@ def purchase_profile(
     profile = daily.groupBy(*keys).agg(
         F.sum("purchases").alias("total_purchases"),
         F.array_sort(F.collect_set("tx_date")).alias("_days"),
+        *smallest_profile_id(daily, keys),
         *per_window,
     )
     first, last = F.array_min("_days"), F.array_max("_days")
@@ -151,5 +158,6 @@ def point_profile(
         F.max("register_date").alias("register_date"),
         F.max("enroll_date").alias("enroll_date"),
         F.max_by("dollarbalance", "_newest").alias("dollarbalance"),
+        *smallest_profile_id(joined, keys),
         *[F.sum(c).alias(c) for c in sums],
     )

@@ -216,3 +216,12 @@ def test_one_card_with_most_rows(spark):
     found = transactions.with_previous_date(rows)
     assert found.count() == 3000
     assert found.exceptAll(plain.select(*found.columns)).count() == 0
+
+
+def test_customer_with_two_profile_ids_has_one_row(spark):
+    rows = [purchase("A1", "20010601", 1), purchase("B1", "20010611", 2), purchase("A2", "20010601", 3)]
+    owners = accounts(spark, [("A1", 1, "P9"), ("B1", 1, "P1"), ("A2", 2, "P2")])
+    daily = profiles.of_customers(profiles.daily_purchases(clean(spark, rows)), owners)
+    found = {r.epcl_profileid: r for r in profiles.purchase_profile(daily, WEEK.start).collect()}
+    assert set(found) == {"P1", "P2"}
+    assert (found["P1"].total_purchases, found["P1"].avg_days_since_last_purchase) == (2, 10.0)
