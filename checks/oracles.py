@@ -761,7 +761,7 @@ STATEMENTS["queried_views"] = """
            strftime(ts, '%Y-%m-%d') AS view_date, count(*) AS impressions
     FROM events JOIN customer ON c_custkey = user_id
     WHERE event_type IN ('view', 'click', 'signup') AND user_id % 7 <> 0
-      AND CAST(ts AS DATE) >= DATE '2024-01-13' AND CAST(ts AS DATE) < DATE '2024-01-27'
+      AND CAST(ts AS DATE) >= DATE '2021-01-27' AND CAST(ts AS DATE) < DATE '2024-01-27'
     GROUP BY ALL"""
 STATEMENTS["offer_files_roundtrip"] = STATEMENTS["adhoc_offers"]
 STATEMENTS["csv_sample_roundtrip"] = STATEMENTS["stratified_sample"]

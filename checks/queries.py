@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import model_queries, products
-from checks.standins import BANNER, CALENDAR_START, EVENT_WEEK, FEATURE_WEEK, OFFER_YEARS, Standins
+from checks.standins import (
+    BANNER,
+    CALENDAR_START,
+    EVENT_WEEK,
+    FEATURE_WEEK,
+    LOOK_BACK_DAYS,
+    OFFER_YEARS,
+    Standins,
+)
 from footfall.functions.weeks import previous_year_week, week_number, week_year
 from footfall.operators import audit, metrics, sampling
 from footfall.operators.calendar_join import join_weeks
@@ -142,7 +150,7 @@ def queried_views(s: Standins) -> DataFrame:
         GROUP BY m.customer_id_hashed, v.p_banner, v.p_trans_dateid
         """,
         {"views": s.views(), "mapping": s.id_mapping()},
-        {"first": EVENT_WEEK.days_before(14), "end": EVENT_WEEK.start},
+        {"first": EVENT_WEEK.days_before(LOOK_BACK_DAYS), "end": EVENT_WEEK.start},
     )
     return seen
 
