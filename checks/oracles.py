@@ -626,8 +626,8 @@ STATEMENTS: dict[str, str] = {
         for t, names in (
             ("matrix", [f"{n}_weeks_back_purchase" for n in range(1, WEEKS + 1)]),
             ("seasons", [f"deal_season_num_{n}" for n in range(1, 5)]),
-            ("profile", ["total_purchases", "days_since_last_purchase"]
-             + [f"num_of_purchases_last_{d}_days" for d in WINDOWS]),
+            ("profile", ["total_purchases", "days_since_first_purchase", "days_since_last_purchase", *GAPS]
+             + [f"{kind}_last_{d}_days" for d in WINDOWS for kind in ("num_of_purchases", "sales")]),
         )
         for c in names
     )
@@ -777,6 +777,127 @@ STATEMENTS["write_snapshot_roundtrip"] = """
            CASE WHEN c_custkey % 2 = 0 THEN '2001_327' ELSE '2001_329' END AS week_identifier
     FROM customer"""
 
+_NULL_AUDITED = {
+    "purchase_profile": ("profile", [
+        "epcl_profileid", "epsilon_id", "banner", "total_purchases", "first_purchase_date", "last_purchase_date",
+        "days_since_first_purchase", "days_since_last_purchase", *GAPS,
+        *(f"{kind}_last_{d}_days" for d in WINDOWS for kind in ("num_of_purchases", "sales"))]),
+    "point_profile": ("points", [
+        "epcl_profileid", "epsilon_id", "banner", "register_date", "enroll_date", "dollarbalance",
+        *(f"{name}_last_{d}_days" for d in WINDOWS for name in MEASURES)]),
+    "purchase_history": ("history", ["epcl_profileid", "epsilon_id", "banner", "week_identifier"]),
+    "promo_matrix": ("promo_row", [f"{n}_weeks_back_NPP_npp_flag" for n in range(1, WEEKS + 1)]),
+    "purchase_labels": ("labelled_buyers", ["epcl_profileid", "epsilon_id", "banner", "purchase_flag"]),
+    "embedding_table": ("embedded", ["lightfm_id", "user_id", "epsilon_id", *(f"latent_{i}" for i in range(WIDTH))]),
+}
+STATEMENTS["null_audits"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) - count(\"{c}\") AS null_count FROM {rows}"
+    for table, (rows, columns) in _NULL_AUDITED.items()
+    for c in columns
+) + ") WHERE null_count > 0"
+STATEMENTS["exported_matrix"] = """
+    SELECT * EXCLUDE (lightfm_id, user_id, register_date, enroll_date, first_purchase_date, last_purchase_date)
+    FROM features"""
+STATEMENTS["sampled_matrix"] = """
+    SELECT * EXCLUDE (lightfm_id, user_id, epcl_profileid, register_date, enroll_date, first_purchase_date,
+                      last_purchase_date)
+    FROM features
+    QUALIFY row_number() OVER (PARTITION BY purchase_flag ORDER BY md5('sample:42:' || epsilon_id))
+            <= ceil(0.02::DOUBLE * count(*) OVER (PARTITION BY purchase_flag))"""
+STATEMENTS["saved_scaling"] = STATEMENTS["standard_scale"]
+STATEMENTS["stored_tables"] = """
+    SELECT o_orderkey, o_orderstatus, 'replaced' AS stored_as FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT o_orderkey, o_orderstatus, 'parts' FROM orders
+    UNION ALL SELECT o_orderkey, o_orderstatus, 'log' FROM orders WHERE o_orderstatus IN ('F', 'O')"""
+STATEMENTS["best_suppliers"] = """
+    SELECT s_name, CAST(floor(s_acctbal / 500) AS BIGINT) AS score FROM supplier
+    ORDER BY score DESC, s_name LIMIT 40"""
+
+
+def _auc_of(curve: str, by: str) -> str:
+    return f"""
+    SELECT {by}, sum(neg * (tp - pos / 2.0::DOUBLE)) / nullif(max(positives * negatives), 0) AS auc
+    FROM ({curve}) GROUP BY {by}"""
+
+
+_STACKED = """(
+    SELECT 'ties' AS model, CASE WHEN l_linenumber % 2 = 0 THEN 'validation' ELSE 'test' END AS split,
+           CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS actual, CAST(l_discount AS DOUBLE) AS p FROM lineitem
+    UNION ALL
+    SELECT 'fine', CASE WHEN l_linenumber % 2 = 0 THEN 'validation' ELSE 'test' END,
+           CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END, round(l_extendedprice / 110000, 6) FROM lineitem)"""
+STATEMENTS["compared_scores"] = f"""
+    SELECT model, round(max(CASE WHEN split = 'validation' THEN auc END), 4) AS validation_auc,
+           round(max(CASE WHEN split = 'test' THEN auc END), 4) AS test_auc
+    FROM ({_auc_of(_curve("p", _STACKED, "model, split"), "model, split")}) GROUP BY model"""
+
+_TOP_JSON = """(
+    SELECT '[' || string_agg('{{"feature":"' || n_name || '","mean_abs_shap_value":' || CAST({value} AS VARCHAR) || '}}',
+                             ',' ORDER BY {value} DESC) || ']' FROM nation)"""
+STATEMENTS["performance_of_lines"] = _REPORT.format(
+    keys="",
+    rows="(SELECT actual, CASE WHEN score_fine >= 0.5 THEN 1 ELSE 0 END AS predicted FROM scored)",
+    extra=f""", round(auc, 6) AS roc_auc, threshold AS optimal_threshold, round(f1, 6) AS optimal_f1,
+      'boosted_trees' AS model_type, 'B1' AS banner, '2001-06-30 00:00:00' AS train_timestamp,
+      'balance_cents,nation,segment_length' AS feature_cols,
+      '{{"max_depth": 4, "learning_rate": 0.5}}' AS hyperparameters,
+      {_TOP_JSON.format(value="(n_nationkey / 32.0::DOUBLE)")} AS top_20_shap_features_class_1,
+      {_TOP_JSON.format(value="(1 - n_nationkey / 32.0::DOUBLE)")} AS top_20_shap_features_class_0,
+      '2001_327' AS week_identifier""",
+    join=f"""CROSS JOIN ({_auc_of(_curve("score_fine"), "'all'")}) CROSS JOIN (
+      SELECT threshold, 2 * p * r / (p + r + 1e-9) AS f1
+      FROM (SELECT threshold, tp / (tp + fp) AS p, tp / positives AS r FROM fine_curve)
+      ORDER BY f1 DESC, threshold LIMIT 1
+    )""",
+).replace("{{", "{").replace("}}", "}")
+
+# Receivers of rank r take one value from the donor of rank r; hash orders are those of the operator.
+_PERMUTED = """
+    WITH v AS (
+      SELECT c_custkey, CASE WHEN c_acctbal + c_nationkey * 150 > 5000 THEN 1 ELSE 0 END AS actual,
+             round(c_acctbal * 100) AS x0, CAST(c_nationkey AS DOUBLE) AS x1, CAST(length(c_mktsegment) AS DOUBLE) AS x2
+      FROM customer
+    ), receivers AS (
+      SELECT v.*, k.turn, row_number() OVER (PARTITION BY k.turn ORDER BY
+               md5('receiver:' || CAST(c_custkey AS VARCHAR) || '#' || CAST(k.turn AS VARCHAR))) AS place
+      FROM v CROSS JOIN (SELECT unnest(range(1, 6)) AS turn) k
+    ), donors AS (
+      SELECT x0 AS d0, x1 AS d1, x2 AS d2, row_number() OVER (ORDER BY md5('donor:' || CAST(c_custkey AS VARCHAR))) AS place
+      FROM v
+    ), shuffled AS (
+      SELECT turn, f.i AS i, actual,
+             (CASE WHEN f.i = 0 THEN d0 ELSE x0 END + CASE WHEN f.i = 1 THEN d1 ELSE x1 END * 20000
+              + CASE WHEN f.i = 2 THEN d2 ELSE x2 END * 30000 + 1000000) / 10000000::DOUBLE AS p
+      FROM receivers JOIN donors USING (place) CROSS JOIN (SELECT unnest(range(0, 3)) AS i) f
+      UNION ALL
+      SELECT 0, 9, actual, (x0 + x1 * 20000 + x2 * 30000 + 1000000) / 10000000::DOUBLE FROM v
+    ), found AS (
+"""
+STATEMENTS["permutation_of_customers"] = (
+    _PERMUTED
+    + _auc_of(_curve("p", "shuffled", "turn, i"), "turn, i")
+    + """)
+    SELECT CASE i WHEN 0 THEN 'balance_cents' WHEN 1 THEN 'nation' ELSE 'segment_length' END AS feature,
+           round((SELECT auc FROM found WHERE i = 9) - avg(auc), 6) AS importance
+    FROM found WHERE i < 9 GROUP BY i"""
+)
+STATEMENTS["shapley_of_fixed_tree"] = """
+    WITH t AS (
+      SELECT CASE WHEN c_acctbal > 4000 THEN 1.0::DOUBLE ELSE 0.0 END AS m0,
+             CASE WHEN c_nationkey > 10 THEN 1.0::DOUBLE ELSE 0.0 END AS m1
+      FROM customer
+    ), v AS (
+      SELECT avg(0.2 * ((1 - m0) - 0.6) + (m0 - 0.4) * (0.3 * (0.5 + 1 - m1) + 0.9 * (0.5 + m1)) / 2) AS balance,
+             avg((0.4 + m0) / 2 * (0.3 * ((1 - m1) - 0.5) + 0.9 * (m1 - 0.5))) AS nation
+      FROM t
+    ), one AS (
+      SELECT 'balance' AS feature, 0.36 + balance AS p FROM v
+      UNION ALL SELECT 'nation', 0.36 + nation FROM v
+      UNION ALL SELECT 'unused', 0.36
+    )
+    SELECT feature, 'class_1' AS class, round(p, 6) AS mean_abs_shap_value FROM one
+    UNION ALL SELECT feature, 'class_0', round(1 - p, 6) FROM one"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(statement) for name, statement in STATEMENTS.items()}

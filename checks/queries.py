@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from checks import model_queries, products
+from checks import fixed_queries, model_queries, products
 from checks.standins import (
     BANNER,
     CALENDAR_START,
@@ -82,7 +82,7 @@ def median_filled(s: Standins) -> DataFrame:
 
 def binary_columns(s: Standins) -> DataFrame:
     def by_name(df: DataFrame) -> DataFrame:
-        columns = [c for c, kind in df.dtypes if kind in ("int", "bigint") and c not in skipped]
+        columns = [c for c, kind in df.dtypes if kind in ("int", "bigint", "double")]
         named = audit.named_binary(columns)
         return audit.binary_by_value(df, columns).select(
             "column_name",
@@ -90,7 +90,6 @@ def binary_columns(s: Standins) -> DataFrame:
             F.col("is_binary").alias("by_value"),
         )
 
-    skipped = {"days_since_first_purchase", *profiles.GAP_COLUMNS}
     days = cut_lineage(products.customer_days(s))
     frames = [
         products.purchase_matrix(s, days),
@@ -279,4 +278,5 @@ def run(query: Query, digits: int) -> Callable[[SparkSession, str], DataFrame]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fitted = {name: (query, 6) for name, query in model_queries.MODEL_QUERIES.items()}
-    return {name: run(query, digits) for name, (query, digits) in {**SQL_CHECKED, **fitted}.items()}
+    every = {**SQL_CHECKED, **fixed_queries.FIXED_QUERIES, **fitted}
+    return {name: run(query, digits) for name, (query, digits) in every.items()}

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.operators.metrics import roc_auc
 from footfall.operators.ordering import cut_points, hash_rank
 from footfall.operators.shape import top
-from footfall.session import cut_lineage, scratch_path
+from footfall.session import cut_lineage, scratch_path, staging
 
 IMPORTANCE_ROWS = 40
 SHAPLEY_ROWS = 20
+SLICE = 32
 
 
 def _feature_names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -40,13 +41,15 @@ def permutation_importance(
     key: str,
     repeats: int = 5,
     k: int = IMPORTANCE_ROWS,
+    features_at_once: int = SLICE,
 ) -> DataFrame:
     """Mean loss of ROC-AUC when one feature is shuffled among the rows.
 
     ``vectors`` has ``key``, ``label`` and ``features``; hand it a stored table. Each repeat is one
     permutation: rows ranked by a seeded hash take their value from the row of the same rank in
-    another hash order. All features and repeats are scored in one pass, spread over the cluster
-    before the rows multiply, and stored so that the AUCs read scores instead of computing them.
+    another hash order. Features are taken ``features_at_once``: their scores are stored, so that the AUCs
+    read instead of computing them, and removed before the next ones, so that disk grows with the rows
+    and not with rows times features. One AUC per feature and repeat reaches the driver.
     """
     spark = vectors.sparkSession
     rows = vectors.select(key, "label", vector_to_array("features").alias("x"))
@@ -59,18 +62,28 @@ def permutation_importance(
     def replaced(value, i):
         return F.when(i == F.col("feature_index"), F.get("donor", F.col("feature_index"))).otherwise(value)
 
-    shuffled = (
-        receivers.join(donors, "rank")
-        .repartition(spark.sparkContext.defaultParallelism, key, "repeat")
-        .withColumn("feature_index", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
-        .select("repeat", "feature_index", "label", array_to_vector(F.transform("x", replaced)).alias("features"))
-    )
+    paired = cut_lineage(receivers.join(donors, "rank").select("repeat", "label", "x", "donor"))
     chance = vector_to_array("probability")[1].alias("p")
     plain = cut_lineage(learner.transform(vectors).select("label", chance))
-    rescored = cut_lineage(learner.transform(shuffled).select("repeat", "feature_index", "label", chance))
     cuts = cut_points(plain, ["p"])["p"]
     before = roc_auc(plain, "label", "p", cuts=cuts).scalar()
-    after = roc_auc(rescored, "label", "p", ["repeat", "feature_index"], cuts=cuts)
+
+    def aucs(first: int, last: int) -> list:
+        shuffled = (
+            paired.repartition(spark.sparkContext.defaultParallelism)
+            .withColumn("feature_index", F.explode(F.sequence(F.lit(first), F.lit(last))))
+            .select("repeat", "feature_index", "label", array_to_vector(F.transform("x", replaced)).alias("features"))
+        )
+        with staging(spark):
+            rescored = cut_lineage(learner.transform(shuffled).select("repeat", "feature_index", "label", chance))
+            return roc_auc(rescored, "label", "p", ["repeat", "feature_index"], cuts=cuts).collect()
+
+    found = [
+        (r.repeat, r.feature_index, r.roc_auc)
+        for first in range(0, len(names), features_at_once)
+        for r in aucs(first, min(first + features_at_once, len(names)) - 1)
+    ]
+    after = spark.createDataFrame(found, "repeat int, feature_index int, roc_auc double")
     importance = (
         after.groupBy("feature_index")
         .agg(F.avg("roc_auc").alias("_mean_auc"))
@@ -172,10 +185,22 @@ def shapley_summary(
     Boosted trees add up log-odds, which a sigmoid turns into probabilities; forests average probabilities
     already. Class 0 is one minus class 1. Batches return sums per feature, never per-row values.
     """
-    log_odds = isinstance(learner, GBTClassificationModel)
+    leaves = tree_paths(learner, vectors.sparkSession)
+    return leaf_summary(leaves, vectors, names, key, isinstance(learner, GBTClassificationModel), k)
+
+
+def leaf_summary(
+    leaves: list[tuple[float, list[tuple]]],
+    vectors: DataFrame,
+    names: Sequence[str],
+    key: str,
+    log_odds: bool,
+    k: int = SHAPLEY_ROWS,
+) -> DataFrame:
+    """:func:`shapley_summary` of an ensemble given by its leaves, see :func:`tree_paths`."""
     spark = vectors.sparkSession
     width = len(names)
-    explain = shapley_batches(tree_paths(learner, spark), width)
+    explain = shapley_batches(leaves, width)
 
     def batch_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -42,6 +42,7 @@ BOOSTING_PARAMS = {
     "subsample": ("subsamplingRate", float),
     "colsample": ("featureSubsetStrategy", str),
     "max_bin": ("maxBins", int),
+    "least_gain": ("validationTol", float),
     "gamma": ("minInfoGain", float),
     "min_child_weight": ("minInstancesPerNode", lambda v: max(1, round(v))),
 }
@@ -63,7 +64,10 @@ def boosted_trees(
     weight: str | None = "weight",
     validation_flag: str | None = None,
 ) -> GBTClassifier:
-    """Gradient-boosted trees; ``validation_flag`` names the boolean column of early-stopping rows."""
+    """Gradient-boosted trees; ``validation_flag`` names the boolean column of early-stopping rows.
+
+    Setting ``least_gain`` is the loss reduction on those rows below which boosting stops.
+    """
     learner = GBTClassifier(
         seed=SEED, **spark_settings({**BOOSTING_DEFAULTS, **(settings or {})}, BOOSTING_PARAMS)
     )

@@ -42,8 +42,13 @@ def model_comparison(models: Mapping[str, PipelineModel], rows: DataFrame) -> Da
     stacked = scored[0]
     for more in scored[1:]:
         stacked = stacked.unionByName(more)
+    return compared(cut_lineage(stacked))
+
+
+def compared(stacked: DataFrame) -> DataFrame:
+    """ROC-AUC per model of stored ``model, split, label, p`` rows, best validation first."""
     return (
-        roc_auc(cut_lineage(stacked), "label", "p", ["model", "split"])
+        roc_auc(stacked, "label", "p", ["model", "split"])
         .groupBy("model")
         .pivot("split", ["validation", "test"])
         .agg(F.round(F.first("roc_auc"), 4))

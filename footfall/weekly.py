@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.context import Week, resolve_week
 from footfall.models import attribution, learners, performance, scoring, tuning
 from footfall.models.prepare import FeatureNames, as_vectors
-from footfall.operators.metrics import segment_metrics
+from footfall.operators import audit
+from footfall.operators.metrics import segment_metrics, threshold_sweep
 from footfall.operators.sampling import stratified_split
 from footfall.plans import affinity, embeddings, experiment, features, history, labels, likelihood
 from footfall.plans import profiles, promo, transactions
@@ -112,8 +113,8 @@ def customer_embeddings(
     tables.write_parts(embeddings.embedding_table(segments, width), path)
 
 
-def statistic_inputs(store: Store, week_identifier: str) -> None:
-    """Offer views and transactions by week, and the active customers' weeks."""
+def statistic_inputs(store: Store, week_identifier: str, with_customer_base: bool = False) -> None:
+    """Offer views and transactions by week; on request also the active customers' weeks, which no job reads."""
     week, calendar = store.week(week_identifier), store.calendar()
     first, last = _look_back(week)
     seen = affinity.offer_views(
@@ -126,10 +127,11 @@ def statistic_inputs(store: Store, week_identifier: str) -> None:
     )
     clean = transactions.clean_transactions(store.table("transaction_detail"), store.banner, first, last)
     base = affinity.transaction_base(clean, store.accounts(), calendar, first, last)
-    customers = affinity.customer_base(store.table("active_customers"), calendar, week, store.banner)
     store.save(affinity.offer_views_by_week(seen, calendar, first, week.start), "offer_views")
     store.save(base, "transaction_base")
-    store.save(customers, "customer_base")
+    if with_customer_base:
+        customers = affinity.customer_base(store.table("active_customers"), calendar, week, store.banner)
+        store.save(customers, "customer_base")
 
 
 def statistic_features(store: Store, week_identifier: str) -> None:
@@ -176,12 +178,16 @@ def train(
     trials: int = 0,
     space: Mapping[str, tuple] = tuning.BOOSTING_SPACE,
     forest_settings: Mapping[str, object] | None = None,
+    forest_trials: int = 0,
+    tuning_rows: int | None = None,
 ) -> DataFrame:
     """Fit, measure and keep a model; returns the validation and test AUC per model.
 
-    With ``trials`` the boosting ``settings`` come from a search. Boosted trees compete with a random forest;
+    With ``trials`` the boosting ``settings`` come from a search, with ``forest_trials`` the forest's;
+    ``tuning_rows`` bounds the labelled rows searched (None: all). Boosted trees compete with a random forest;
     the better one on validation rows is recorded with its own settings, then fitted again on all rows and
-    saved.
+    saved. Null counts, class sizes, held-out rows, their threshold sweep and the exported matrix are kept by
+    ``model_week``.
     """
     matrix = features.with_target(feature_matrix(store, feature_week, label_week))
     rows = cut_lineage(
@@ -196,10 +202,15 @@ def train(
     flagged = learners.boosted_trees(settings, validation_flag="is_validation")
     chosen = {**learners.BOOSTING_DEFAULTS, **(settings or {})}
     if trials:
-        best_settings, _ = tuning.tune_boosting(flagged, names, fit_rows, KEY, space, trials)
+        best_settings, _ = tuning.tune_boosting(flagged, names, fit_rows, KEY, space, trials, tuning_rows)
         chosen = {**chosen, **best_settings}
         flagged = learners.boosted_trees(chosen, validation_flag="is_validation")
     forest = {**learners.FOREST_DEFAULTS, **(forest_settings or {})}
+    if forest_trials:
+        best_settings, _ = tuning.tune_forest(
+            learners.random_forest(forest), names, train_rows, KEY, trials=forest_trials, max_rows=tuning_rows
+        )
+        forest = {**forest, **best_settings}
     used = {"boosted_trees": chosen, "random_forest": forest}
     models = {
         "boosted_trees": learners.fit_weighted(flagged, names, fit_rows),
@@ -220,10 +231,12 @@ def train(
     )
     tables.append_record(record, store.path("model_performance"))
     store.save(by_segment, "segment_performance", model_week)
-    store.save(held_out, "test_predictions")
-    tables.export_features(
-        rows, store.path("model_features"), [KEY, "epcl_profileid"], columns, "purchase_flag"
-    )
+    store.save(held_out, "test_predictions", model_week)
+    store.save(threshold_sweep(held_out, "actual", "predicted_proba"), "threshold_sweep", model_week)
+    store.save(audit.null_audit(rows), "null_audit", model_week)
+    store.save(audit.class_balance(rows, "label"), "class_balance", model_week)
+    exported = f"{store.path('model_features')}/{tables.SNAPSHOT}={model_week}"
+    tables.export_features(rows, exported, [KEY, "epcl_profileid"], columns, "purchase_flag")
     final = learners.fit_weighted(finals[best], names, rows)
     tables.save_model(final, store.path("models"), best, model_week)
     return comparison

@@ -93,7 +93,21 @@ def test_tuning_sample_is_capped_and_stratified(rows):
     assert 100 <= sample.count() <= 102
     share = rows.agg(F.avg("label")).first()[0]
     assert sample.agg(F.avg("label")).first()[0] == pytest.approx(share, abs=0.02)
-    assert tuning.tuning_rows(rows, m.KEY, 10**6).count() == rows.count()
+    assert tuning.tuning_rows(rows, m.KEY, 10**6).count() == tuning.tuning_rows(rows, m.KEY).count() == rows.count()
+
+
+def test_forest_search_keeps_the_best_trial_whatever_the_partitions(rows):
+    space = {"n_estimators": ("int", 2, 3, 1), "max_depth": ("int", 1, 5, 4), "max_features": ("choice", "sqrt", "log2")}
+    train = m.part(rows, "train").select(m.KEY, "label", *m.LATENT)
+    found = [
+        tuning.tune_forest(learners.random_forest(), m.NAMES, df, m.KEY, space, 3)
+        for df in (train.coalesce(1), train.repartition(4))
+    ]
+    drawn = tuning.draw(space, 3)
+    for best, scores in found:
+        assert len(scores) == 3 and all(0 <= score <= 1 for score in scores)
+        assert best == drawn[scores.index(max(scores))]
+    assert found[0][1] == pytest.approx(found[1][1], abs=0.1)
 
 
 def brute_force_shapley(leaves, x, width):
@@ -156,6 +170,8 @@ def test_permuting_the_only_used_feature_matters_most(spark):
         for r in attribution.permutation_importance(learner, base, ["idle", "used"], "id").collect()
     }
     assert found["used"] > 0.3 and found["idle"] == pytest.approx(0, abs=1e-9)
+    one_by_one = attribution.permutation_importance(learner, base, ["idle", "used"], "id", features_at_once=1)
+    assert {r.feature: r.importance for r in one_by_one.collect()} == found
 
 
 @pytest.mark.parametrize("name", sorted(m.MODEL_QUERIES))

@@ -84,7 +84,10 @@ def test_train_then_score(trained):
     record = trained.table("model_performance").collect()
     assert len(record) == 1 and record[0].model_type == best and record[0].roc_auc > 0.8
     assert trained.snapshot("segment_performance", "2001_331").count() >= 1
-    exported = trained.table("model_features")
+    exported = trained.snapshot("model_features", "2001_331")
+    assert trained.snapshot("threshold_sweep", "2001_331").count() == 8
+    assert trained.snapshot("class_balance", "2001_331").first().rows == exported.count()
+    assert trained.snapshot("null_audit", "2001_331").columns == ["column_name", "null_count"]
     assert {"epsilon_id", "epcl_profileid", "purchase_flag"} < set(exported.columns)
     weekly.score(trained, FEATURE_WEEK.identifier, best, "2001_331")
     scores = trained.snapshot("predictions", FEATURE_WEEK.identifier)
@@ -95,7 +98,7 @@ def test_train_then_score(trained):
 def test_statistics_labels_and_merge(spark, standins, tmp_path):
     store = fill(weekly.Store(spark, str(tmp_path), BANNER), standins, standins.event_detail())
     week = EVENT_WEEK.identifier
-    weekly.statistic_inputs(store, week)
+    weekly.statistic_inputs(store, week, with_customer_base=True)
     weekly.statistic_features(store, week)
     same_rows(store.snapshot("statistic_features", week), products.statistic_features(standins))
     same_rows(store.table("customer_base"), products.customer_base(standins))
