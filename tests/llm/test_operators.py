@@ -297,6 +297,54 @@ def test_leaks(spark):
     assert decontaminate.contaminated(frame, benchmark.limit(0)).count() == 0
 
 
+def brute_leaks(texts, items):
+    """All (text, item) with a match in any window, by comparing every chunk with every window."""
+    found = set()
+    for place, text in enumerate(texts):
+        own = decontaminate._numbers(text, items.terms)
+        shortest = 0
+        for longest, blocks, step in decontaminate.SCALES:
+            mine = [i for i, c in enumerate(items.chunks) if shortest < len(c) <= longest]
+            shortest = longest
+            for begin in range(-(blocks - 1) * step, len(own), step):
+                window = own[max(begin, 0) : begin + blocks * step].tolist()
+                for i in mine:
+                    chunk, answer = items.chunks[i], items.answers[i]
+                    common = decontaminate.common_words(decontaminate._masks(chunk), len(chunk), window) / len(chunk)
+                    there = decontaminate.common_words(decontaminate._masks(answer), len(answer), window) / len(answer)
+                    if common >= decontaminate.LEAST_COMMON or common >= decontaminate.LOOSE_COMMON and there >= decontaminate.LEAST_ANSWER:
+                        found.add((place, items.item_ids[i]))
+    return found
+
+
+def test_search_finds_what_brute_force_finds():
+    own = random.Random(6)
+    vocabulary = prose(21, 60).split()
+    # Few words, so that windows come close to many chunks, and some of them in every text.
+    texts = [" ".join(own.choices(vocabulary, range(60, 0, -1), k=own.randint(30, 150))) for _ in range(40)]
+    rows = []
+    for i in range(30):
+        words = texts[i].split()
+        at = own.randrange(max(len(words) - 30, 1))
+        part = words[at : at + own.choice((6, 14, 30))]
+        rows.append((i, " ".join(w if own.random() < 0.75 else own.choice(vocabulary) for w in part)))
+    items = decontaminate.prepare(rows)
+    frequencies = np.array([sum(t in x.lower().encode().split() for x in texts) for t in items.terms])
+    weights = decontaminate.idf(frequencies, len(texts))
+    search = decontaminate.Search(items, weights, np.eye(len(weights), 8, dtype=np.float32))
+    want = brute_leaks(texts, items)
+    assert len(want) > 30 and {(f[0], f[1]) for f in search.run(texts)} == want
+
+
+def test_leaks_of_common_words(spark):
+    common = prose(31, 12).split()
+    leak = " ".join(random.Random(1).sample(common, 12))
+    benchmark = spark.createDataFrame([(1, leak), (2, prose(32, 30))], "item_id long, text string")
+    rows = [(i, " ".join(random.Random(100 + i).choices(common, k=2)) + " " + prose(40 + i, 30) + " " + " ".join(common[::-1])) for i in range(300)]
+    found = decontaminate.contaminated(docs(spark, [*rows, (900, prose(33, 40) + " " + leak)]), benchmark).collect()
+    assert (900, 1) in {(r["doc_id"], r["item_id"]) for r in found} and all(r["cosine"] > 0 for r in found)
+
+
 def test_common_words():
     own = random.Random(9)
     for _ in range(200):
