@@ -2,7 +2,8 @@
 
 Two first-order character models are trained, one of random strings and one of ordinary identifiers and
 words. A run of token characters is reported if its log-likelihood ratio per character and in total is above
-the thresholds. Counting is a Spark job over labelled strings; only the two tables of character pairs, whose
+the thresholds, or else those of its best sub-runs for which that holds, so ordinary text around a random string
+does not hide it. Counting is a Spark job over labelled strings; only the two tables of character pairs, whose
 size is fixed, reach the driver.
 """
 
@@ -36,6 +37,7 @@ GENERATED = 4_000
 LEAST_CHARS = 20
 LEAST_RATIO = 0.9
 LEAST_TOTAL = 24.0
+SCAN_RATIO = 0.45  # a pair below it speaks against a sub-run
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.zeros(128, dtype=np.int64)
@@ -163,17 +165,57 @@ def random_strings(spark: SparkSession, rows: int) -> DataFrame:
     return spark.range(rows).withColumn("pick", pick).select(F.array_join(letters, "").alias("text"), F.lit(1).alias("random"))
 
 
+def random_parts(token: str, model: RandomnessModel) -> list[tuple[int, int]]:
+    """Random strings in a run of token characters: the run if it is one as a whole, or else its best sub-runs.
+
+    Best are the maximal-scoring sub-runs (Ruzzo and Tompa) of the pairs' ratios less ``SCAN_RATIO``; none can
+    be made better by a longer or shorter one, and they do not overlap. The pairs at the token's edges are
+    left out there.
+    """
+    codes = _codes([token])
+    ratios = model.ratio[codes[:-1], codes[1:]]
+    whole = float(ratios.sum())
+    if whole >= LEAST_TOTAL and whole >= LEAST_RATIO * len(token):
+        return [(0, len(token))]
+    totals = np.r_[0.0, np.cumsum(ratios[1:-1])]
+    found = []
+    for first, last in _maximal((totals - SCAN_RATIO * np.arange(len(totals))).tolist()):
+        # The pairs first to last - 1 join the characters first to last.
+        if last - first + 1 >= LEAST_CHARS and totals[last] - totals[first] >= max(LEAST_TOTAL, LEAST_RATIO * (last - first)):
+            found.append((first, last + 1))
+    return found
+
+
+def _maximal(sums: list[float]) -> list[tuple[int, int]]:
+    """Maximal-scoring sub-runs as (first, last) places of the running sums, in linear time."""
+    runs: list[tuple[int, int]] = []
+    links: list[int] = []  # the last earlier run whose left sum is less
+    for i in range(1, len(sums)):
+        if sums[i] <= sums[i - 1]:
+            continue
+        left, right = i - 1, i
+        while True:
+            j = len(runs) - 1
+            while j >= 0 and sums[runs[j][0]] >= sums[left]:
+                j = links[j]
+            if j < 0 or sums[runs[j][1]] >= sums[right]:
+                runs.append((left, right))
+                links.append(j)
+                break
+            left = runs[j][0]
+            del runs[j:], links[j:]
+    return runs
+
+
 def secret_spans(text: str, model: RandomnessModel) -> tuple[list[Span], list[Span], dict[str, int]]:
     """All spans, base spans (both in order), and counts of base kinds."""
     found = base_spans(text)
     base = in_order([s for kind in KINDS for s in found[kind]])
-    more = []
-    for m in _TOKEN.finditer(text):
-        if any(s < m.end() and m.start() < e for _, s, e in base):
-            continue
-        score = model.score(m.group())
-        if score >= LEAST_TOTAL and score >= LEAST_RATIO * (m.end() - m.start()):
-            more.append(("random", m.start(), m.end()))
+    more, at = [], 0
+    for start, end in [*sorted((s, e) for _, s, e in base), (len(text), len(text))]:
+        for m in _TOKEN.finditer(text, at, max(at, start)):
+            more += [("random", m.start() + s, m.start() + e) for s, e in random_parts(m.group(), model)]
+        at = max(at, end)
     return in_order(base + more), base, {kind: len(found[kind]) for kind in KINDS}
 
 

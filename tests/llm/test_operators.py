@@ -208,6 +208,39 @@ def test_secrets(spark, sf_dir):
     assert model.score(blob) > 0 > model.score("conversationalist")
 
 
+def test_secrets_glued_to_words(spark, sf_dir):
+    model = secrets.fit(secrets.labelled_samples(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    blob, other = "q9ZrT4xWk2LmB7vYc3NpH8sD", "Vb7Qk2Zx9Rw4Jm6Tf3Hd8PgX"
+    path = "customers/sessions/resources/documentation/customers/sessions/"
+    rows = [path + blob, path + blob + "/" + path + other + "/" + path, "0123456789abcdef0123/" + path + blob, path * 3]
+    found = {r["doc_id"]: r for r in secrets.find_secrets(docs(spark, list(enumerate(rows))), model).collect()}
+    for i, text in enumerate(rows):
+        spans = [s.split(":") for s in found[i]["spans"].split(",") if s.startswith("random")]
+        own = [(int(s), int(e)) for _, s, e in spans]
+        wanted = [m.span() for m in re.finditer(f"{blob}|{other}", text)]
+        assert len(own) == len(wanted)
+        # The ends may be a character or two off where secret and word are alike.
+        assert all(abs(a - c) <= 3 and abs(b - d) <= 3 for (a, b), (c, d) in zip(own, wanted))
+    assert found[2]["n_hex"] == 1
+
+
+def test_maximal_runs():
+    own = random.Random(8)
+    for _ in range(300):
+        gains = [own.randint(-5, 5) for _ in range(own.randint(1, 14))]
+        sums = [sum(gains[:i]) for i in range(len(gains) + 1)]
+
+        def split(low, high):
+            pairs = [(sums[j] - sums[i], i - j, i, j) for i in range(low, high) for j in range(i + 1, high + 1)]
+            best = max(pairs, default=(0,))
+            if best[0] <= 0:
+                return []
+            return split(low, best[2]) + [best[2:]] + split(best[3], high)
+
+        got = secrets._maximal([float(x) for x in sums])
+        assert sorted(sums[j] - sums[i] for i, j in got) == sorted(sums[j] - sums[i] for i, j in split(0, len(gains)))
+
+
 def test_personal(spark):
     rows = ODD + [
         (40, "mail a.b@x.example.com, 10.0.0.255 1.2.3.999, 4111 1111 1111 1111 +1 (555) 123-4567"),
