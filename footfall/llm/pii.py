@@ -112,6 +112,7 @@ _CLASSES = bytes(
     for b in range(256)
 )
 _RUNS = re.compile(rb"X+|x+|0+|.", re.S)
+_LONG = 200
 
 
 def classes(text: str) -> list[bytes]:
@@ -119,10 +120,17 @@ def classes(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_CLASSES).split()
 
 
-@functools.lru_cache(maxsize=100_000)
 def shape(word: bytes) -> str:
-    """Shape of a word of classes: runs of letters as X or x, digit runs with their length, the rest as it is."""
-    parts = [f"d{min(len(r), 20)}" if r[:1] == b"0" else chr(r[0]) for r in _RUNS.findall(word[:200])]
+    """Shape of a word of classes: runs of letters as X or x, digit runs with their length, the rest as it is.
+
+    Words are read whole; those of more than ``_LONG`` bytes are not remembered.
+    """
+    return _shape(word) if len(word) <= _LONG else _shape.__wrapped__(word)
+
+
+@functools.lru_cache(maxsize=100_000)
+def _shape(word: bytes) -> str:
+    parts = [f"d{min(len(r), 20)}" if r[:1] == b"0" else chr(r[0]) for r in _RUNS.findall(word)]
     return "".join(p for i, p in enumerate(parts) if i == 0 or p != parts[i - 1])
 
 

@@ -258,6 +258,14 @@ def test_personal(spark):
     assert found[43]["n_ip"] == 1
 
 
+def test_shapes_of_long_words(spark):
+    assert pii.shape(pii.classes("é" * 150 + "12345")[0]) == "xd5"
+    assert pii.shape(pii.classes("Ab," * 100 + "c@d")[0]) == "Xx," * 100 + "x@x"
+    text = "電" * 80 + "+1(555)123-4567"
+    table = pii.labelled_windows(docs(spark, [(1, text)])).collect()
+    assert [(r["shapes"], r["tags"]) for r in table] == [([pii.shape(pii.classes(text)[0])], [pii.TAGS.index("phone")])]
+
+
 def test_emails_are_leftmost_matches():
     pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     own = random.Random(2)
