@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import (
     decontaminate,
+    interactions,
     langid,
     mixing,
+    periodic,
     pii,
     quality,
+    rotation,
     secrets,
     sharding,
     simhash,
@@ -73,6 +76,18 @@ def op10_shard_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(_documents(spark, sf_dir))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.filter_interactions(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -87,6 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_substring_seed,
             op9_secret_markov,
             op10_shard_kdtree,
+            op11_filter_interactions,
+            op12_rotation_codes,
+            op13_periodic_runs,
         )
     }
 
@@ -201,10 +219,56 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
+_INTERACTIONS = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
+), m AS (
+  SELECT doc_id, part, [
+      len(words) < 50,
+      100 * len(list_distinct(words)) < 65 * len(words),
+      100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text),
+      regexp_matches(text, '[#$%&*|]'),
+      coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)
+    ] AS fails
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), w AS (
+  SELECT part, fails, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic
+  FROM m LEFT JOIN l ON l.doc_id = m.doc_id GROUP BY part, fails
+), f(f, letter) AS (
+  VALUES (1, 'A'), (2, 'B'), (3, 'C'), (4, 'D'), (5, 'E')
+), o AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o, a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f) JOIN f d ON d.f NOT IN (a.f, b.f, c.f)
+    JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+), r AS (
+  SELECT part, fails, n, good, toxic, o, filter_order,
+    CASE WHEN fails[o[1]] THEN 1 WHEN fails[o[2]] THEN 2 WHEN fails[o[3]] THEN 3 WHEN fails[o[4]] THEN 4
+      WHEN fails[o[5]] THEN 5 ELSE 6 END AS rank
+  FROM w, o
+), s AS (
+  SELECT part, filter_order, step, any_value(o[step]) AS f,
+    sum(CASE WHEN rank > step THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN rank = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN rank < step AND fails[o[step]] THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails[o[step]] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN rank = step THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN rank = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM r, (SELECT unnest(range(1, 6)) AS step) GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM s
+"""
+
 #: Fingerprints, checksums and trained models have no SQL form here; the tests check those queries.
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_zip": _WARC,
     "op6_mix_waterfill": _MIX,
     "op7_quality_rules": _QUALITY,
     "op8_substring_seed": _SUBSTRING,
+    "op11_filter_interactions": _INTERACTIONS,
 }
