@@ -90,6 +90,15 @@ def tuned_model(s: Standins) -> DataFrame:
     return tuning.trial_table(rows, tuning.draw(SMALL_SPACE, trials), scores)
 
 
+def halving_trials(s: Standins) -> DataFrame:
+    """Two brackets of nine trials: scores of every trial at every rung it reached."""
+    rows = labelled_vectors(s)
+    learner = learners.boosted_trees(validation_flag="is_validation")
+    train = part(rows, "train", "validation")
+    space = {**SMALL_SPACE, "n_estimators": ("int", 9, 18, 9)}
+    return tuning.search_table(rows, tuning.search_boosting(learner, NAMES, train, KEY, space, trials=18))
+
+
 def cv_auc(s: Standins) -> DataFrame:
     rows = labelled_vectors(s)
     settings = [{"n_estimators": 10, "max_depth": depth} for depth in (3, 5)]
@@ -161,6 +170,7 @@ MODEL_QUERIES = {
     "mlp_scores": mlp_scores,
     "held_out_predictions": held_out,
     "tuned_model": tuned_model,
+    "halving_trials": halving_trials,
     "cv_auc": cv_auc,
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,

@@ -40,7 +40,7 @@ def performance_record(
     """
     report = classification_report(held_out, "actual", "predicted")
     with_auc = attach_one_row(report, roc_auc(held_out, "actual", "predicted_proba"))
-    measured = attach_one_row(with_auc, optimal_threshold(held_out, "actual", "predicted_proba"))
+    measured = attach_one_row(with_auc, optimal_threshold(held_out, "actual", "predicted_proba"), optional=True)
     ranked = F.col("roc_auc").isNotNull()
     return (
         measured.withColumns(

@@ -1,4 +1,4 @@
-"""Random hyper-parameter search, and cross-validation by Spark's own validator."""
+"""Hyper-parameter search, random or by halving, and cross-validation by Spark's own validator."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.models.learners import BOOSTING_PARAMS, FOREST_PARAMS, SEED, spark_settings
 from footfall.models.prepare import FeatureNames, vector_stages, with_class_weight
+from footfall.models.search import Trial, halving_search
 from footfall.operators.sampling import capped_fraction, fold_number, stratified_sample, stratified_split
 from footfall.session import cut_lineage
 
@@ -48,6 +49,7 @@ WIDE_BOOSTING_SPACE = {
 BOOSTING_TRIALS = 100
 FOREST_TRIALS = 20
 WIDE_BOOSTING_TRIALS = 14
+ROWS_PER_PARTITION = 100_000
 FOLDS = 3
 HOLD_OUT = 0.2
 PARALLEL_TRIALS = 4
@@ -95,6 +97,25 @@ def tuning_rows(train: DataFrame, key: str, cap: int | None = None) -> DataFrame
     return stratified_sample(train, key, "label", fraction)
 
 
+def search_vectors(names: FeatureNames, train: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
+    """Weighted, scaled rows with a ``split`` of their own, stored; scaling is fitted on the rows trials are fitted on.
+
+    Rows are dealt to partitions by a hash of ``key`` and ordered by it, as subsampling draws by partition
+    and place.
+    """
+    rows = with_class_weight(tuning_rows(train, key, max_rows))
+    kept = [c for c in ("label", "weight", "is_validation") if c in rows.columns]
+    split = stratified_split(
+        rows.select(key, *names.ordered, *kept), key, "label", 1 - HOLD_OUT, HOLD_OUT, f"search:{SEED}"
+    )
+    fitted = split.filter("split = 'train'")
+    n_fitted = fitted.count()
+    scaling = Pipeline(stages=vector_stages(names, n_fitted)).fit(fitted)
+    vectors = scaling.transform(split).select(key, "features", "split", *kept)
+    dealt = vectors.repartition(math.ceil(max(n_fitted, 1) / ROWS_PER_PARTITION), key).sortWithinPartitions(key)
+    return cut_lineage(dealt)
+
+
 def tune(
     learner: Estimator,
     names: FeatureNames,
@@ -111,14 +132,7 @@ def tune(
     Every trial is weighted and runs on the cluster; scaling is fitted once, on the rows the trials are fitted
     on. ``max_rows`` bounds the labelled rows searched; without it all are.
     """
-    rows = with_class_weight(tuning_rows(train, key, max_rows))
-    kept = [c for c in ("label", "weight", "is_validation") if c in rows.columns]
-    split = stratified_split(
-        rows.select(key, *names.ordered, *kept), key, "label", 1 - HOLD_OUT, HOLD_OUT, f"search:{SEED}"
-    )
-    fitted = split.filter("split = 'train'")
-    scaling = Pipeline(stages=vector_stages(names, fitted.count())).fit(fitted)
-    vectors = cut_lineage(scaling.transform(split).select("features", "split", *kept))
+    vectors = search_vectors(names, train, key, max_rows)
     held_out = vectors.filter("split <> 'train'")
     settings, auc = draw(space, trials), _auc()
     models = learner.fitMultiple(vectors.filter("split = 'train'"), param_maps(learner, settings, known))
@@ -145,10 +159,56 @@ def tune_boosting(
     return tune(learner, names, train, key, BOOSTING_PARAMS, space, trials, max_rows)
 
 
-def tune_wide_boosting(
-    learner: Estimator, names: FeatureNames, train: DataFrame, key: str, trials: int = WIDE_BOOSTING_TRIALS
-) -> tuple[dict[str, object], list[float]]:
-    return tune(learner, names, train, key, BOOSTING_PARAMS, WIDE_BOOSTING_SPACE, trials)
+def search(
+    learner: Estimator,
+    names: FeatureNames,
+    train: DataFrame,
+    key: str,
+    known: Mapping[str, tuple],
+    space: Mapping[str, tuple],
+    resource: str,
+    trials: int,
+    max_rows: int | None = None,
+    **halving: int,
+) -> list[Trial]:
+    """Trials of a halving search, best first, scored by ROC-AUC on the held-out fifth of :func:`tune`.
+
+    ``resource`` is the setting that grows from rung to rung, the number of trees.
+    """
+    vectors = search_vectors(names, train, key, max_rows)
+    fitted, held_out, auc = vectors.filter("split = 'train'"), vectors.filter("split <> 'train'"), _auc()
+
+    def evaluate(settings: dict[str, object], amount: int) -> float:
+        params = param_maps(learner, [{**settings, resource: amount}], known)[0]
+        return auc.evaluate(learner.fit(fitted, params).transform(held_out))
+
+    wrap = inheritable_thread_target(vectors.sparkSession)
+    return halving_search(space, evaluate, resource, trials, SEED, parallel=PARALLEL_TRIALS, wrap=wrap, **halving)
+
+
+def search_boosting(
+    learner: Estimator,
+    names: FeatureNames,
+    train: DataFrame,
+    key: str,
+    space: Mapping[str, tuple] = BOOSTING_SPACE,
+    trials: int = BOOSTING_TRIALS,
+    max_rows: int | None = None,
+    **halving: int,
+) -> list[Trial]:
+    """Halving search over boosted trees; pass ``WIDE_BOOSTING_SPACE`` for the wider ranges."""
+    return search(learner, names, train, key, BOOSTING_PARAMS, space, "n_estimators", trials, max_rows, **halving)
+
+
+def search_table(like: DataFrame, trials: Sequence[Trial]) -> DataFrame:
+    """One row per trial and rung: resource used and ROC-AUC there, and whether the trial won."""
+    rows = [
+        (t.number, rung, amount, json.dumps(t.settings), float(score), place == 0)
+        for place, t in enumerate(trials)
+        for rung, (amount, score) in enumerate(zip(t.resources, t.scores))
+    ]
+    schema = "trial int, rung int, trees int, settings string, roc_auc double, is_best boolean"
+    return like.sparkSession.createDataFrame(rows, schema).orderBy("trial", "rung")
 
 
 def tune_forest(

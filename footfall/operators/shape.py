@@ -48,9 +48,15 @@ def as_one_row(df: DataFrame, position: str, value: str, positions: Sequence[int
     return wide.toDF(*[name.format(p) for p in positions]).na.fill(0)
 
 
-def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a one-row frame on every row, as a scalar subquery."""
-    return df.select("*", one_row.select(F.struct("*")).scalar().alias("_one")).select(*df.columns, "_one.*")
+def attach_one_row(df: DataFrame, one_row: DataFrame, optional: bool = False) -> DataFrame:
+    """Put the columns of a one-row frame on every row, as a scalar subquery.
+
+    A frame without a row raises, unless it is ``optional``; its columns are NULL then.
+    """
+    one = one_row.select(F.struct("*")).scalar()
+    if not optional:
+        one = F.coalesce(one, F.raise_error(F.lit(f"no row to attach with columns {', '.join(one_row.columns)}")))
+    return df.select("*", one.alias("_one")).select(*df.columns, "_one.*")
 
 
 def latest(df: DataFrame, value: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -94,18 +94,19 @@ def with_previous_date(
     Dates carry no time, so only the first row of a day looks back to an earlier day; the others
     follow a row of their own day. Rows are hashed into lanes by id, and only the first row of each
     lane and day can be the first of its day. Those leaders, at most ``lanes`` per key and day, are
-    put in date order together; the remaining rows of a key stay spread over the lanes. So neither
-    window holds a key's rows in one group, and the input is read once.
+    put in date order together; every other row has its answer in its own date and stays alone. So
+    the rows ordered together are those of a key, day and lane, then at most ``lanes`` times the days of
+    the look-back, and the input is read once.
     """
     lane = F.pmod(F.xxhash64(row_id), F.lit(lanes)).cast("int")
     same_day = Window.partitionBy(*keys, at, "_lane").orderBy(row_id)
     in_order = Window.partitionBy(*keys, "_group").orderBy(at, row_id)
-    leads = F.row_number().over(same_day) == 1
+    leaders, alone = F.lit(0).cast("long"), F.xxhash64(row_id, at).bitwiseOR(F.lit(1))
     return (
         rows.withColumn("_lane", lane)
-        .withColumn("_group", F.when(leads, -1).otherwise(F.col("_lane")))
+        .withColumn("_group", F.when(F.row_number().over(same_day) == 1, leaders).otherwise(alone))
         .withColumn("prev_tx_date", F.lag(at).over(in_order))
-        .withColumn("prev_tx_date", F.when(F.col("_group") == -1, F.col("prev_tx_date")).otherwise(F.col(at)))
+        .withColumn("prev_tx_date", F.when(F.col("_group") == 0, F.col("prev_tx_date")).otherwise(F.col(at)))
         .drop("_lane", "_group")
     )
 

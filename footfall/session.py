@@ -36,6 +36,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another."""
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(source)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Own the stages written inside and remove them at the end, when every result must have been saved."""

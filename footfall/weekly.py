@@ -31,6 +31,7 @@ from footfall.sources import tables
 
 LOOK_BACK_DAYS = 1095
 KEY = "epsilon_id"
+RUN_KEY = ("banner", "model_type", "week_identifier")
 RUN_COLUMNS = ("label", "split", "is_validation")
 
 
@@ -56,6 +57,7 @@ class Store:
             tables.replace_table(df, self.path(name))
         else:
             tables.write_snapshot(df, self.path(name), week_identifier)
+        tables.vacuum(self.spark, self.path(name))
 
     def calendar(self) -> DataFrame:
         return week_reference(self.table("week_reference"))
@@ -109,8 +111,8 @@ def customer_labels(store: Store, week_identifier: str) -> None:
 def customer_embeddings(
     store: Store, week_identifier: str, segments: Iterable[tuple[DataFrame, DataFrame]], width: int
 ) -> None:
-    path = f"{store.path('embeddings')}/{tables.SNAPSHOT}={week_identifier}"
-    tables.write_parts(embeddings.embedding_table(segments, width), path)
+    found = embeddings.embedding_table(segments, width)
+    tables.write_snapshot(found, store.path("embeddings"), week_identifier, tables.ROWS_PER_FILE)
 
 
 def statistic_inputs(store: Store, week_identifier: str, with_customer_base: bool = False) -> None:
@@ -183,7 +185,7 @@ def train(
 ) -> DataFrame:
     """Fit, measure and keep a model; returns the validation and test AUC per model.
 
-    With ``trials`` the boosting ``settings`` come from a search, with ``forest_trials`` the forest's;
+    With ``trials`` the boosting ``settings`` come from a halving search, whose trials are kept, with ``forest_trials`` the forest's;
     ``tuning_rows`` bounds the labelled rows searched (None: all). Boosted trees compete with a random forest;
     the better one on validation rows is recorded with its own settings, then fitted again on all rows and
     saved. Null counts, class sizes, held-out rows, their threshold sweep and the exported matrix are kept by
@@ -202,8 +204,9 @@ def train(
     flagged = learners.boosted_trees(settings, validation_flag="is_validation")
     chosen = {**learners.BOOSTING_DEFAULTS, **(settings or {})}
     if trials:
-        best_settings, _ = tuning.tune_boosting(flagged, names, fit_rows, KEY, space, trials, tuning_rows)
-        chosen = {**chosen, **best_settings}
+        tried = tuning.search_boosting(flagged, names, fit_rows, KEY, space, trials, tuning_rows)
+        store.save(tuning.search_table(rows, tried), "search_trials", model_week)
+        chosen = {**chosen, **tried[0].settings}
         flagged = learners.boosted_trees(chosen, validation_flag="is_validation")
     forest = {**learners.FOREST_DEFAULTS, **(forest_settings or {})}
     if forest_trials:
@@ -229,14 +232,14 @@ def train(
     by_segment = segment_metrics(
         held_out.join(recency, KEY), "actual", "predicted_proba", "predicted", "days_since_last_purchase"
     )
-    tables.append_record(record, store.path("model_performance"))
+    tables.upsert_record(record, store.path("model_performance"), RUN_KEY, "train_timestamp")
     store.save(by_segment, "segment_performance", model_week)
     store.save(held_out, "test_predictions", model_week)
     store.save(threshold_sweep(held_out, "actual", "predicted_proba"), "threshold_sweep", model_week)
     store.save(audit.null_audit(rows), "null_audit", model_week)
     store.save(audit.class_balance(rows, "label"), "class_balance", model_week)
-    exported = f"{store.path('model_features')}/{tables.SNAPSHOT}={model_week}"
-    tables.export_features(rows, exported, [KEY, "epcl_profileid"], columns, "purchase_flag")
+    exported = store.path("model_features")
+    tables.export_features(rows, exported, [KEY, "epcl_profileid"], columns, "purchase_flag", model_week)
     final = learners.fit_weighted(finals[best], names, rows)
     tables.save_model(final, store.path("models"), best, model_week)
     return comparison
