@@ -11,15 +11,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import products
 from checks.model_queries import KEY, NAMES
-from checks.standins import BANNER, EMBEDDING_WIDTH, FEATURE_WEEK, Standins
-from footfall.models import attribution, performance, scoring
+from checks.standins import BANNER, EMBEDDING_WIDTH, EVENT_WEEK, FEATURE_WEEK, TARGET_WEEK, Standins
+from footfall.context import resolve_week
+from footfall.models import attribution, performance, refit, scoring
 from footfall.models.prepare import vector_stages
-from footfall.operators import audit
+from footfall.operators import audit, sketches
+from footfall.operators.calendar_join import join_weeks
 from footfall.operators.shape import top
-from footfall.plans import features
+from footfall.plans import features, transactions
 from footfall.plans.embeddings import widen
 from footfall.session import cut_lineage, scratch_path
-from footfall.sources import tables
+from footfall.sources import json_lines, tables
 
 PERMUTED = ["balance_cents", "nation", "segment_length"]
 
@@ -170,6 +172,64 @@ def sampled_matrix(s: Standins) -> DataFrame:
     return s.spark.read.option("header", True).schema(kept.schema).csv(path)
 
 
+def upserted_log(s: Standins) -> DataFrame:
+    """Orders put into a log of one row per customer, newest order kept, twice and in another order."""
+    path = scratch_path(s.spark, "upserts")
+    orders = s.table("orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1", "o_orderkey % 2 = 0"):
+        tables.upsert_record(orders.filter(part), path, ["o_custkey"], "o_orderkey")
+    return tables.read_table(s.spark, path)
+
+
+def weeks_of_runs(s: Standins) -> DataFrame:
+    """Bounds of single weeks, each read from the calendar as one row."""
+    calendar = s.calendar()
+    weeks = [resolve_week(calendar, w.identifier) for w in (FEATURE_WEEK, TARGET_WEEK, EVENT_WEEK)]
+    bounds = [(w.identifier, w.start, w.end) for w in weeks]
+    listed = s.spark.createDataFrame(bounds, "week_identifier string, start_date date, end_date date")
+    days = s.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).count()
+    dated = join_weeks(days, "day", listed, FEATURE_WEEK.start, EVENT_WEEK.end)
+    per_week = dated.groupBy("week_identifier").agg(F.sum("count").alias("orders"))
+    return listed.join(per_week, "week_identifier", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+
+
+def refitted_leaves(s: Standins) -> DataFrame:
+    """Second-order values of a fixed tree's leaves: customers split by balance and nation, at a known margin."""
+    leaf = F.when(F.col("c_acctbal") <= 4000, 0).when(F.col("c_nationkey") <= 10, 1).otherwise(2)
+    rows = s.table("customer").select(
+        leaf.alias("leaf"),
+        (F.col("c_acctbal") + F.col("c_nationkey") * 150 > 5000).cast("int").alias("label"),
+        (F.col("c_nationkey") / 10.0 - 1.0).alias("margin"),
+        F.when(F.col("c_mktsegment") == "BUILDING", 2.0).otherwise(1.0).alias("weight"),
+    )
+    return refit.leaf_values(
+        rows, "leaf", "label", "margin", "weight", 0.5, reg_lambda=3.0, reg_alpha=1.5, min_child_weight=2.0, max_delta_step=0.9
+    )
+
+
+def gap_sketch_quartiles(s: Standins) -> DataFrame:
+    """Quartiles of the gaps between a card's purchases, from sketches kept by week, stored and merged."""
+    gaps = transactions.purchase_gaps(products.clean(s))
+    dated = join_weeks(gaps, "tx_date", s.calendar(), *products.look_back(FEATURE_WEEK))
+    path = scratch_path(s.spark, "sketches")
+    weekly = sketches.week_sketches(dated, ["cardnumber", "banner"], "week_identifier", "gap_days")
+    tables.write_snapshots(weekly.withColumnRenamed("week_identifier", tables.SNAPSHOT), path)
+    merged = sketches.merged_sketches(tables.read_table(s.spark, path), ["cardnumber", "banner"])
+    return merged.withColumns(sketches.quantile_columns()).drop("sketch")
+
+
+def json_records(s: Standins) -> DataFrame:
+    """Suppliers written as JSON lines, every seventh cut short, and read with a declared schema."""
+    path = scratch_path(s.spark, "json")
+    line = F.to_json(F.struct("s_suppkey", "s_name", "s_nationkey"))
+    cut = F.when(F.col("s_suppkey") % 7 == 0, F.substring(line, 1, 12)).otherwise(line)
+    s.table("supplier").select(cut.alias("value")).write.text(path)
+    read = json_lines.read_json(s.spark, path, "s_suppkey long, s_name string, s_nationkey int")
+    return read.withColumn(json_lines.BROKEN, F.col(json_lines.BROKEN).isNotNull().cast("int")).groupBy(
+        json_lines.BROKEN, "s_nationkey"
+    ).agg(F.count("*").alias("records"), F.sum("s_suppkey").alias("keys"))
+
+
 FIXED_QUERIES = {
     "performance_of_lines": (performance_of_lines, 6),
     "compared_scores": (compared_scores, 4),
@@ -181,4 +241,9 @@ FIXED_QUERIES = {
     "null_audits": (null_audits, 6),
     "exported_matrix": (exported_matrix, 4),
     "sampled_matrix": (sampled_matrix, 4),
+    "refitted_leaves": (refitted_leaves, 6),
+    "gap_sketch_quartiles": (gap_sketch_quartiles, 4),
+    "json_records": (json_records, 4),
+    "upserted_log": (upserted_log, 4),
+    "weeks_of_runs": (weeks_of_runs, 4),
 }

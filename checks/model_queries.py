@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from checks import products
 from checks.standins import BANNER, EMBEDDING_WIDTH, FEATURE_WEEK, Standins
-from footfall.models import attribution, learners, performance, scoring, tuning
+from footfall.models import attribution, learners, neural, performance, refit, scoring, tuning
 from footfall.models.prepare import FeatureNames, as_vectors, vector_stages, with_class_weight
 from footfall.operators.sampling import stratified_split
 from footfall.plans.embeddings import widen
@@ -81,6 +81,21 @@ def mlp_scores(s: Standins) -> DataFrame:
     return scoring.score(model, rows, IDS)
 
 
+def net_scores(s: Standins) -> DataFrame:
+    """The weighted net with the library's own settings, ended by the validation rows."""
+    rows = labelled_vectors(s)
+    learner = neural.WeightedNet(KEY, validation_flag="is_validation")
+    return scoring.score(learners.fit_weighted(learner, NAMES, part(rows, "train", "validation")), rows, IDS)
+
+
+def regularised_scores(s: Standins) -> DataFrame:
+    """Boosted trees with their leaves refitted under penalties, applied to all rows."""
+    rows = labelled_vectors(s)
+    settings = {**BOOSTING, "reg_lambda": 5.0, "max_delta_step": 1.0}
+    fitted = learners.fit_weighted(learners.boosted_trees(settings), NAMES, part(rows, "train"))
+    return scoring.score(refit.refit(fitted, with_class_weight(part(rows, "train")), settings), rows, IDS)
+
+
 def tuned_model(s: Standins) -> DataFrame:
     rows = labelled_vectors(s)
     learner = learners.boosted_trees(validation_flag="is_validation")
@@ -168,6 +183,8 @@ MODEL_QUERIES = {
     "gbt_scores": gbt_scores,
     "forest_scores": forest_scores,
     "mlp_scores": mlp_scores,
+    "net_scores": net_scores,
+    "regularised_scores": regularised_scores,
     "held_out_predictions": held_out,
     "tuned_model": tuned_model,
     "halving_trials": halving_trials,

@@ -898,6 +898,41 @@ STATEMENTS["shapley_of_fixed_tree"] = """
     SELECT feature, 'class_1' AS class, round(p, 6) AS mean_abs_shap_value FROM one
     UNION ALL SELECT feature, 'class_0', round(1 - p, 6) FROM one"""
 
+STATEMENTS["refitted_leaves"] = """
+    WITH r AS (
+      SELECT CASE WHEN c_acctbal <= 4000 THEN 0 WHEN c_nationkey <= 10 THEN 1 ELSE 2 END AS leaf,
+             CASE WHEN c_acctbal + c_nationkey * 150 > 5000 THEN 1 ELSE 0 END AS label,
+             1 / (1 + exp(-(c_nationkey / 10.0 - 1.0))) AS p,
+             CASE WHEN c_mktsegment = 'BUILDING' THEN 2.0::DOUBLE ELSE 1.0 END AS weight
+      FROM customer
+    ), g AS (
+      SELECT leaf, count(*) AS rows, sum(weight * (p - label)) AS gradient, sum(weight * p * (1 - p)) AS hessian
+      FROM r GROUP BY leaf
+    )
+    SELECT leaf, rows, round(gradient, 6) AS gradient, round(hessian, 6) AS hessian,
+           round(CASE WHEN hessian >= 2.0 THEN 0.5 * greatest(-0.9, least(0.9,
+             -sign(gradient) * greatest(abs(gradient) - 1.5, 0) / (hessian + 3.0))) ELSE 0 END, 6) AS value
+    FROM g"""
+STATEMENTS["gap_sketch_quartiles"] = f"""
+    SELECT cardnumber, banner, CAST(days_since_last_purchase_p25 AS BIGINT) AS p25,
+           CAST(days_since_last_purchase_p50 AS BIGINT) AS p50, CAST(days_since_last_purchase_p75 AS BIGINT) AS p75,
+           total_purchases - 1 AS n_values
+    FROM ({_profile("transactions", "cardnumber, banner")}) WHERE total_purchases > 1"""
+STATEMENTS["json_records"] = """
+    SELECT CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END AS _broken_record,
+           CASE WHEN s_suppkey % 7 <> 0 THEN s_nationkey END AS s_nationkey,
+           count(*) AS records, CAST(sum(CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey END) AS BIGINT) AS keys
+    FROM supplier GROUP BY 1, 2"""
+STATEMENTS["upserted_log"] = """
+    SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice
+    FROM orders GROUP BY o_custkey"""
+STATEMENTS["weeks_of_runs"] = """
+    SELECT c.week_identifier, CAST(c.start_date AS VARCHAR) AS start_date, CAST(c.end_date AS VARCHAR) AS end_date,
+           count(o.o_orderkey) AS orders
+    FROM calendar c LEFT JOIN orders o ON CAST(o.o_orderdate AS DATE) BETWEEN c.start_date AND c.end_date
+    WHERE c.week_identifier IN ('2001_327', '2001_329', '2024_305')
+    GROUP BY c.week_identifier, c.start_date, c.end_date"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(statement) for name, statement in STATEMENTS.items()}

@@ -94,6 +94,18 @@ def permutation_importance(
     return top(importance, "importance", k, "feature")
 
 
+def importance_summary(
+    learner: Transformer, vectors: DataFrame, names: Sequence[str], key: str, k: int = SHAPLEY_ROWS
+) -> DataFrame:
+    """:func:`shapley_summary`'s columns for a learner without trees: permutation importance, alike for both classes.
+
+    ``vectors`` is a stored table with ``label``.
+    """
+    ranked = permutation_importance(learner, vectors, names, key, k=k)
+    classes = F.explode(F.array(F.lit("class_1"), F.lit("class_0")))
+    return ranked.select("feature", classes.alias("class"), F.col("importance").alias("mean_abs_shap_value"))
+
+
 def tree_paths(learner: Transformer, spark: SparkSession) -> list[tuple[float, list[tuple]]]:
     """Every leaf of a fitted tree ensemble as (value, conditions).
 

@@ -1,7 +1,10 @@
 """The classifiers, as Spark ML estimators with the settings that exist there.
 
-Boosting has no counterpart for L1/L2 penalties, leaf-wise growth or step caps; the neural net has
-no dropout or batch normalisation, and no row weights, so it is fitted on copies of positive rows.
+Spark's boosting has no counterpart for L1/L2 penalties or step caps; :mod:`footfall.models.refit` gives the leaves
+values that follow them. ``gamma`` and ``min_child_weight`` bound Spark's impurity gain and rows of a node here, which
+are other quantities than loss reduction and Hessian sums; the refit reads ``min_child_weight`` as the latter. Spark's
+neural net has no dropout, batch normalisation or row weights, so it is fitted on copies of positive rows;
+:mod:`footfall.models.neural` has all three.
 """
 
 from __future__ import annotations

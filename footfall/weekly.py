@@ -15,22 +15,25 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.context import Week, resolve_week
-from footfall.models import attribution, learners, performance, scoring, tuning
-from footfall.models.prepare import FeatureNames, as_vectors
+from footfall.models import attribution, learners, neural, performance, refit, scoring, tuning
+from footfall.models.prepare import FeatureNames, as_vectors, with_class_weight
 from footfall.operators import audit
-from footfall.operators.metrics import segment_metrics, threshold_sweep
+from footfall.operators.metrics import pr_curve, roc_curve, segment_metrics, threshold_sweep
 from footfall.operators.sampling import stratified_split
 from footfall.plans import affinity, embeddings, experiment, features, history, labels, likelihood
 from footfall.plans import profiles, promo, transactions
 from footfall.plans.calendar import week_reference
 from footfall.session import cut_lineage
 from footfall.sources import tables
+from footfall.sources.json_lines import read_segments
 
 LOOK_BACK_DAYS = 1095
 KEY = "epsilon_id"
+PENALTIES = {"reg_lambda", "reg_alpha", "max_delta_step"}
 RUN_KEY = ("banner", "model_type", "week_identifier")
 RUN_COLUMNS = ("label", "split", "is_validation")
 
@@ -115,6 +118,11 @@ def customer_embeddings(
     tables.write_snapshot(found, store.path("embeddings"), week_identifier, tables.ROWS_PER_FILE)
 
 
+def customer_embeddings_of(store: Store, week_identifier: str, segment_map: str, width: int) -> None:
+    """:func:`customer_embeddings` of the segments that a JSON file lists."""
+    customer_embeddings(store, week_identifier, read_segments(store.spark, segment_map), width)
+
+
 def statistic_inputs(store: Store, week_identifier: str, with_customer_base: bool = False) -> None:
     """Offer views and transactions by week; on request also the active customers' weeks, which no job reads."""
     week, calendar = store.week(week_identifier), store.calendar()
@@ -148,11 +156,17 @@ def statistic_features(store: Store, week_identifier: str) -> None:
 
 
 def feature_matrix(
-    store: Store, week_identifier: str, label_week: str | None = None, weeks: int = history.WEEKS
+    store: Store,
+    week_identifier: str,
+    label_week: str | None = None,
+    weeks: int = history.WEEKS,
+    statistic_week: str | None = None,
+    keep_unprofiled: bool = False,
 ) -> DataFrame:
     """The model's table from the week's snapshots, with the purchase flag of ``label_week`` if given.
 
-    Training and scoring call the same function, so their columns cannot differ.
+    ``statistic_week`` adds that week's view and shop statistics, ``keep_unprofiled`` customers with an embedding
+    only. Training and scoring call the same function, so their columns cannot differ.
     """
     week, calendar = store.week(week_identifier), store.calendar()
     bought = store.snapshot("purchase_history", week_identifier)
@@ -167,9 +181,21 @@ def feature_matrix(
         summary,
         promo.promo_matrix(store.table("promo_history"), calendar, week, weeks),
         None if label_week is None else store.snapshot("purchase_labels", label_week),
+        keep_unprofiled,
+        None if statistic_week is None else store.snapshot("statistic_features", statistic_week),
     )
 
 
+def _explained(best: str, models: Mapping[str, PipelineModel], rows: DataFrame, names: FeatureNames) -> DataFrame:
+    """Top features of the best model: Shapley values of trees (of the trees before a refit), else permutations."""
+    model = models["boosted_trees" if best == "regularised_trees" else best]
+    if best == "neural_net":
+        vectors = cut_lineage(as_vectors(model, rows, [KEY, "label"]))
+        return attribution.importance_summary(model.stages[-1], vectors, names.ordered, KEY)
+    vectors = as_vectors(model, rows, [KEY])
+    return attribution.shapley_summary(model.stages[-1], vectors, names.ordered, KEY)
+
+
 def train(
     store: Store,
     feature_week: str,
@@ -182,16 +208,23 @@ def train(
     forest_settings: Mapping[str, object] | None = None,
     forest_trials: int = 0,
     tuning_rows: int | None = None,
+    net_settings: Mapping[str, object] | None = None,
+    statistic_week: str | None = None,
+    keep_unprofiled: bool = False,
 ) -> DataFrame:
     """Fit, measure and keep a model; returns the validation and test AUC per model.
 
     With ``trials`` the boosting ``settings`` come from a halving search, whose trials are kept, with ``forest_trials`` the forest's;
-    ``tuning_rows`` bounds the labelled rows searched (None: all). Boosted trees compete with a random forest;
+    ``tuning_rows`` bounds the labelled rows searched (None: all). Boosted trees compete with a random forest and,
+    with ``net_settings``, the weighted neural net; penalties among ``settings`` are met by a refit of the leaves;
     the better one on validation rows is recorded with its own settings, then fitted again on all rows and
     saved. Null counts, class sizes, held-out rows, their threshold sweep and the exported matrix are kept by
     ``model_week``.
     """
-    matrix = features.with_target(feature_matrix(store, feature_week, label_week))
+    table = feature_matrix(
+        store, feature_week, label_week, statistic_week=statistic_week, keep_unprofiled=keep_unprofiled
+    )
+    matrix = features.with_target(table)
     rows = cut_lineage(
         stratified_split(matrix, KEY, "label").withColumn("is_validation", F.col("split") == "validation")
     )
@@ -220,11 +253,18 @@ def train(
         "random_forest": learners.fit_weighted(learners.random_forest(forest), names, train_rows),
     }
     finals = {"boosted_trees": learners.boosted_trees(chosen), "random_forest": learners.random_forest(forest)}
+    if net_settings is not None:
+        used["neural_net"] = dict(net_settings)
+        held = neural.WeightedNet(KEY, validation_flag="is_validation", **net_settings)
+        models["neural_net"] = learners.fit_weighted(held, names, fit_rows)
+        finals["neural_net"] = neural.WeightedNet(KEY, **net_settings)
+    if PENALTIES & (settings or {}).keys():
+        models["regularised_trees"] = refit.refit(models["boosted_trees"], with_class_weight(train_rows), chosen)
+        used["regularised_trees"], finals["regularised_trees"] = chosen, finals["boosted_trees"]
     comparison = cut_lineage(scoring.model_comparison(models, rows))
     best = scoring.best_model(comparison)
     held_out = cut_lineage(scoring.held_out_predictions(models[best], test_rows, KEY))
-    vectors = as_vectors(models[best], rows.filter("is_validation"), [KEY])
-    shapley = attribution.shapley_summary(models[best].stages[-1], vectors, names.ordered, KEY)
+    shapley = _explained(best, models, rows.filter("is_validation"), names)
     record = performance.performance_record(
         held_out, shapley, best, store.banner, model_week, trained_at, names.ordered, used[best]
     )
@@ -236,19 +276,32 @@ def train(
     store.save(by_segment, "segment_performance", model_week)
     store.save(held_out, "test_predictions", model_week)
     store.save(threshold_sweep(held_out, "actual", "predicted_proba"), "threshold_sweep", model_week)
+    store.save(roc_curve(held_out, "actual", "predicted_proba"), "roc_curve", model_week)
+    store.save(pr_curve(held_out, "actual", "predicted_proba"), "pr_curve", model_week)
     store.save(audit.null_audit(rows), "null_audit", model_week)
     store.save(audit.class_balance(rows, "label"), "class_balance", model_week)
     exported = store.path("model_features")
     tables.export_features(rows, exported, [KEY, "epcl_profileid"], columns, "purchase_flag", model_week)
     final = learners.fit_weighted(finals[best], names, rows)
+    if best == "regularised_trees":
+        final = refit.refit(final, with_class_weight(rows), chosen)
     tables.save_model(final, store.path("models"), best, model_week)
     return comparison
 
 
-def score(store: Store, week_identifier: str, model_type: str, model_week: str) -> None:
+def score(
+    store: Store,
+    week_identifier: str,
+    model_type: str,
+    model_week: str,
+    statistic_week: str | None = None,
+    keep_unprofiled: bool = False,
+) -> None:
     """Probability to shop for every customer of the week's features, by a saved model."""
     model = tables.load_model(store.path("models"), model_type, model_week)
-    population = feature_matrix(store, week_identifier)
+    population = feature_matrix(
+        store, week_identifier, statistic_week=statistic_week, keep_unprofiled=keep_unprofiled
+    )
     store.save(scoring.score(model, population, [KEY, "epcl_profileid"]), "predictions", week_identifier)
 
 

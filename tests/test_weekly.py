@@ -95,6 +95,28 @@ def test_train_then_score(trained):
     assert scores.filter("predicted_purchase_prob NOT BETWEEN 0 AND 1").count() == 0
 
 
+def test_net_and_penalties_compete_and_a_rerun_keeps_one_record(trained):
+    busy = trained.snapshot("purchase_history", FEATURE_WEEK.identifier).drop("made_purchase", "week_identifier")
+    trained.save(busy.distinct().selectExpr("*", "'Y' AS purchase_flag"), "purchase_labels", "2001_398")
+    settings = {**SMALL, "reg_lambda": 2.0}
+    for _ in range(2):
+        comparison = weekly.train(
+            trained,
+            FEATURE_WEEK.identifier,
+            "2001_398",
+            "2001_332",
+            dt.datetime(2001, 7, 7),
+            settings,
+            forest_settings={"n_estimators": 5, "max_depth": 3},
+            net_settings={"hidden": (8, 4), "dropout": (0.1, 0.0), "epochs": 3},
+        )
+    models = {r.model for r in comparison.collect()}
+    assert models == {"boosted_trees", "random_forest", "neural_net", "regularised_trees"}
+    assert trained.table("model_performance").filter("week_identifier = '2001_332'").count() == 1
+    weekly.score(trained, FEATURE_WEEK.identifier, comparison.first().model, "2001_332")
+    assert trained.snapshot("roc_curve", "2001_332").count() > 1
+
+
 def test_statistics_labels_and_merge(spark, standins, tmp_path):
     store = fill(weekly.Store(spark, str(tmp_path), BANNER), standins, standins.event_detail())
     week = EVENT_WEEK.identifier
