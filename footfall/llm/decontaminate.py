@@ -1,16 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items are cut into chunks of at most 48 words; chunks and passages of documents are TF-IDF vectors
-over the items' terms, seen through the leading right singular vectors of a distributed randomised SVD.
-Passages are overlapping windows of all texts. A chunk is a candidate in every window that can hold a match,
-whatever their cosine: a match of at least T of a chunk's L words has h of any L - T + h of them in the window,
-and those words are counted, the chunk's rarest ones. So no rank, weight or number of documents decides what is
-found; the cosine is told with each match. Candidates are verified by the longest common subsequence of words and, for looser matches, by a check that
-the end of the item (its answer) is there too.
-
-Document frequencies cover all documents. The SVD is fitted to all chunks and to the passages of a bounded
-sample of documents (``FIT_DOCS``); every passage is searched. Items are a stated query set: they are taken in
-blocks of at most ``BLOCK_BYTES`` of text, and only one block at a time is sent to the executors.
+over the items' terms, seen through the leading right singular vectors of a distributed randomised SVD, as many
+as the chunks ask for (``rank_for``). Passages are overlapping windows of all texts. A chunk is a candidate in every
+window whose cosine with it reaches ``LEAST_COSINE``. The rest is not lost: a match of at least T of a chunk's L words has
+h of any L - T + h of them in the window, so windows that hold as many of the chunk's rarest words are candidates
+too, whatever their cosine. Candidates are verified by the longest common subsequence of words and, for looser
+matches, by a check that the end of the item (its answer) is there too.
+
+Items of fewer than ``LEAST_ITEM`` words are not searched, as their words turn up in clean texts by themselves;
+:func:`skipped_items` lists them. Document frequencies cover all documents. The SVD is fitted to all chunks and to the
+passages of a bounded sample of documents (``FIT_DOCS``); every passage is searched. Items are a stated query set:
+they are taken in blocks of about ``BLOCK_BYTES`` of text, items longer than half of that in pieces, and a block's
+matches are stored before the next block is read.
 """
 
 from __future__ import annotations
@@ -28,13 +30,18 @@ from footfall.llm.common import identified, objects
 from footfall.session import cut_lineage
 
 #: Production parameters.
-RANK = 96
+#: Singular vectors per square root of a block's chunks, and the fewest.
+RANK_PER_ROOT, LEAST_RANK = 6, 32
+LEAST_COSINE = 0.45
+LEAST_ITEM = 6
 POWER_ROUNDS = 2
 FIT_DOCS = 1_000
 BLOCK_BYTES = 1 << 20
 LEAST_COMMON = 0.6
 LOOSE_COMMON, LEAST_ANSWER = 0.45, 0.8
 CHUNK, CHUNK_STEP = 48, 24
+#: Characters by which pieces of very long items overlap, and of their end in which the answer is.
+OVERLAP = 2_000
 #: Share of a match's fewest words that is looked for among the chunk's rarest; any share finds the same matches.
 RARE = 0.25
 #: Longest chunk, blocks per window, words per block: a window holds any chunk of its scale whole.
@@ -42,6 +49,7 @@ SCALES = ((16, 3, 8), (CHUNK, 4, 16))
 
 _AT_ONCE = 150_000  # words searched together
 _COLUMNS = 256  # chunks counted together
+_CELLS = 1 << 25  # windows times words looked up together
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -66,13 +74,18 @@ def _answer(text: str) -> list[bytes]:
     return last if len(last) >= 3 else tokens(text)[-5:]
 
 
-def prepare(rows: list[tuple[int, str]]) -> Items:
-    """Chunks of the items; items without words have none."""
+def prepare(rows: list[tuple[int, str]] | list[tuple[int, str, str]]) -> Items:
+    """Chunks of the items ``(id, text)`` or of pieces ``(id, text, end of the item)``; items of fewer than
+    ``LEAST_ITEM`` words have none."""
     terms: dict[bytes, int] = {}
     item_ids, chunks, answers = [], [], []
-    for item_id, text in rows:
-        words = [terms.setdefault(w, len(terms)) for w in tokens(text)]
-        answer = np.array([terms[w] for w in _answer(text)], dtype=np.int64)
+    for item_id, text, *end in rows:
+        found = tokens(text)
+        if len(found) < LEAST_ITEM:
+            continue
+        words = [terms.setdefault(w, len(terms)) for w in found]
+        last = _answer(end[0] if end else text)
+        answer = np.array([terms.setdefault(w, len(terms)) for w in last], dtype=np.int64)
         at = 0
         while words:
             item_ids.append(item_id)
@@ -164,13 +177,19 @@ def _gram_times(matrix: tuple[np.ndarray, np.ndarray, np.ndarray], basis: np.nda
     return out
 
 
-def latent_basis(texts: DataFrame, items: Items, weights: np.ndarray, rank: int = RANK) -> np.ndarray:
+def rank_for(chunks: int) -> int:
+    """Singular vectors for so many chunks."""
+    return max(LEAST_RANK, math.ceil(RANK_PER_ROOT * math.sqrt(chunks)))
+
+
+def latent_basis(texts: DataFrame, items: Items, weights: np.ndarray, rank: int | None = None) -> np.ndarray:
     """Leading right singular vectors (terms × rank) of the TF-IDF passages, by randomised subspace iteration.
 
     Every round multiplies by AᵀA where the passages lie and sums the parts; the sample and so the number of
     parts is bounded. Chunks and sampled passages weigh the same in total.
     """
     size = len(weights)
+    rank = rank_for(len(items.chunks)) if rank is None else rank
     width = min(size, rank + 16)
     sample = cut_lineage(_passages(texts, items).repartition(4))
     passages = sample.count()
@@ -247,7 +266,13 @@ class Search:
             for low in range(0, len(mine), _COLUMNS):
                 self.scales.append(self._counted(np.array(mine[low : low + _COLUMNS]), blocks, step, weights))
         self.masks = [_masks(c) for c in items.chunks]
-        self.distinct = [frozenset(c.tolist()) for c in items.chunks]
+        # distinct words of every chunk, filled up with a number no word has, and how many a match needs
+        self.padded = np.full((len(items.chunks), CHUNK), len(weights))
+        self.needed = np.zeros(len(items.chunks), dtype=np.int64)
+        for i, chunk in enumerate(items.chunks):
+            distinct = np.unique(chunk)
+            self.padded[i, : len(distinct)] = distinct
+            self.needed[i] = least_words(len(chunk)) - (len(chunk) - len(distinct))
         self.answer_masks = [_masks(a) for a in items.answers]
 
     def _counted(self, mine: np.ndarray, blocks: int, step: int, weights: np.ndarray) -> Chunks:
@@ -264,29 +289,87 @@ class Search:
         ends = np.searchsorted(np.concatenate(terms)[by_term], np.arange(len(weights) + 1))
         return Chunks(mine, blocks, step, ends, np.concatenate(columns)[by_term], np.array(fewest, dtype=np.uint8))
 
-    def candidates(self, own: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """Window starts and the chunks that may have a match there; ``at`` are the words' places."""
+    def near(self, own: np.ndarray, at: np.ndarray, s: Chunks) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (by number) and columns of the chunks whose cosine reaches ``LEAST_COSINE``; ``own`` are known words."""
+        block = at // s.step
+        first = np.flatnonzero(np.diff(block, prepend=-1))
+        words = np.diff(first, append=len(block))
+        sums = np.zeros((int(block[-1]) + 2 * s.blocks, self.latent.shape[1]), dtype=np.float32)
+        full = self.latent[own[first]]
+        for k in range(1, int(words.max())):  # the k-th known word of every block that has one
+            more = np.flatnonzero(words > k)
+            full[more] += self.latent[own[first[more] + k]]
+        sums[block[first] + s.blocks - 1] = full
+        count = len(sums) - s.blocks + 1
+        windows = sums[:count].copy()
+        for k in range(1, s.blocks):
+            windows += sums[k : k + count]
+        cosines = windows @ self.queries[s.mine].T
+        reach = LEAST_COSINE * np.sqrt(np.einsum("ij,ij->i", windows, windows))
+        return np.nonzero(cosines >= np.maximum(reach, 1e-6)[:, None])
+
+    def holding(
+        self, own: np.ndarray, at: np.ndarray, s: Chunks, row: np.ndarray, column: np.ndarray
+    ) -> np.ndarray:
+        """Which of the windows, given in order, have enough of their chunk's words for a match."""
+        found = np.zeros(len(row), dtype=bool)
+        block, wanted = at // s.step, s.mine[column]
+        windows, first = np.unique(row, return_index=True)
+        step = max(1, _CELLS // (len(self.latent) + 1))
+        for low in range(0, len(windows), step):
+            some = windows[low : low + step]
+            place = np.full(int(some[-1]) + 1, -1)
+            place[some] = np.arange(len(some))
+            there = np.zeros((len(some), len(self.latent) + 1), dtype=bool)
+            start, end = np.searchsorted(block, (some[0] - s.blocks + 1, some[-1] + 1))
+            for k in range(s.blocks):
+                window = block[start:end] + k
+                inside = window < len(place)
+                at_row = place[window[inside]]
+                there[at_row[at_row >= 0], own[start:end][inside][at_row >= 0]] = True
+            upto = first[low + step] if low + step < len(first) else len(row)
+            mine = slice(first[low], upto)
+            held = there[place[row[mine]][:, None], self.padded[wanted[mine]]].sum(axis=1)
+            found[mine] = held >= self.needed[wanted[mine]]
+        return found
+
+    def counted(self, own: np.ndarray, at: np.ndarray, s: Chunks) -> tuple[np.ndarray, np.ndarray]:
+        """Windows (by number) and columns of the chunks that may have a match there, by their rarest words."""
+        times = s.ends[own + 1] - s.ends[own]
+        words = np.flatnonzero(times)
+        if not len(words):
+            return words, words
+        times = times[words]
+        block = at[words] // s.step + s.blocks - 1
+        width, size = len(s.mine), int(block[-1]) + s.blocks + 1
+        place = np.arange(times.sum()) + np.repeat(s.ends[own[words]] - np.cumsum(times) + times, times)
+        cells = np.repeat(block * width, times) + s.columns[place]
+        counts = np.bincount(cells, minlength=size * width).astype(np.uint8).reshape(size, width)
+        count = size - s.blocks + 1
+        windows = counts[:count].copy()
+        for k in range(1, s.blocks):
+            windows += counts[k : k + count]
+        return np.nonzero(windows >= s.fewest)
+
+    def candidates(
+        self, own: np.ndarray, at: np.ndarray, ways: tuple[str, ...] = ("near", "counted")
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Window starts and the chunks that are compared there, window by window; ``at`` are the words' places."""
         known = np.flatnonzero(own >= 0)
+        if not len(known):
+            return
         for s in self.scales:
-            times = s.ends[own[known] + 1] - s.ends[own[known]]
-            words = known[times > 0]
-            if not len(words):
-                continue
-            times = times[times > 0]
-            block = at[words] // s.step + s.blocks - 1
-            width, size = len(s.mine), int(block[-1]) + s.blocks + 1
-            place = np.arange(times.sum()) + np.repeat(s.ends[own[words]] - np.cumsum(times) + times, times)
-            cells = np.repeat(block * width, times) + s.columns[place]
-            counts = np.bincount(cells, minlength=size * width).astype(np.uint8).reshape(size, width)
-            count = size - s.blocks + 1
-            windows = counts[:count].copy()
-            for k in range(1, s.blocks):
-                windows += counts[k : k + count]
-            row, column = np.nonzero(windows >= s.fewest)
+            found = [getattr(self, way)(own[known], at[known], s) for way in ways]
+            cells = np.unique(np.concatenate([row * len(s.mine) + column for row, column in found]))
+            row, column = np.divmod(cells, len(s.mine))
+            keep = self.holding(own[known], at[known], s, row, column)
+            row, column = row[keep], column[keep]
             yield (row - (s.blocks - 1)) * s.step, s.mine[column], s.blocks * s.step
 
-    def run(self, texts: list[str]) -> list[tuple[int, int, float, float, float]]:
-        """Confirmed (text, item, cosine, common, answer), the best of each text and item."""
+    def run(
+        self, texts: list[str], ways: tuple[str, ...] = ("near", "counted")
+    ) -> list[tuple[int, int, float, float, float]]:
+        """Confirmed (text, item, common, answer, cosine), the best of each text and item."""
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         gap = max(blocks * step for _, blocks, step in SCALES)
         waiting: list[tuple[int, np.ndarray]] = []
@@ -296,7 +379,7 @@ class Search:
             starts = np.cumsum([0] + [-(-len(o) // gap) * gap + gap for _, o in waiting])
             own = np.concatenate([o for _, o in waiting])
             at = np.concatenate([s + np.arange(len(o)) for s, (_, o) in zip(starts, waiting)])
-            for begins, chunks, width in self.candidates(own, at):
+            for begins, chunks, width in self.candidates(own, at, ways):
                 texts_at = np.searchsorted(starts[:-1], begins + width - 1, side="right") - 1
                 before = None
                 for begin, chunk, k in zip(begins.tolist(), chunks.tolist(), texts_at.tolist()):
@@ -304,10 +387,8 @@ class Search:
                     if begin != before:  # candidates come window by window
                         low = begin - int(starts[k])
                         window = numbers[max(low, 0) : max(low + width, 0)]
-                        window = window[window >= 0].tolist()
-                        seen, before = set(window), begin
-                    if self._may_hold(seen, chunk):
-                        self._verify(best, place, window, chunk)
+                        window, before = window[window >= 0].tolist(), begin
+                    self._verify(best, place, window, chunk)
 
         for place, text in enumerate(texts):
             numbers = _numbers(text, self.items.terms)
@@ -322,11 +403,6 @@ class Search:
             flush()
         return [(place, item, *found) for (place, item), found in best.items()]
 
-    def _may_hold(self, seen: set[int], chunk: int) -> bool:
-        """Whether a window of these words can have a long enough subsequence: no longer than the chunk's words in it."""
-        length, distinct = len(self.items.chunks[chunk]), self.distinct[chunk]
-        return (len(seen & distinct) + length - len(distinct)) / length >= LOOSE_COMMON
-
     def _cosine(self, window: list[int], chunk: int) -> float:
         total = self.latent[window].sum(axis=0)
         return float(total @ self.queries[chunk] / max(np.linalg.norm(total), 1e-6))
@@ -368,28 +444,61 @@ _FOUND = "doc_id long, text_hash long, item_id long, common double, answer doubl
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Confirmed matches: ``doc_id, text_hash, item_id, common, answer, cosine``, one row per document and item.
 
+    Items of fewer than ``LEAST_ITEM`` words are not searched.
+
     ``common`` is the share of the item's (or chunk's) words in the longest common subsequence, ``answer``
     that of its last sentence. Null and empty texts and items match nothing; repeated rows match alike; an
     empty table on either side gives an empty result; other columns are not looked at. Ties between windows
     go to the larger shares.
     """
     texts = identified(docs)
-    item = benchmark.filter("text is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
-    size = item.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    pieces = _pieces(benchmark)
+    size = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     result = docs.sparkSession.createDataFrame([], _FOUND)
     for block in range(blocks):
-        rows = item.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        items = prepare([(r["item_id"], r["text"]) for r in rows.collect()])
+        rows = pieces.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text", "end")
+        items = prepare([tuple(r) for r in rows.collect()])
         if not items.chunks:
             continue
         frequencies, count = document_frequencies(texts, items)
         weights = idf(frequencies, count)
         search = Search(items, weights, latent_basis(texts, items, weights))
-        result = result.unionByName(texts.select("doc_id", "text_hash", "text").mapInPandas(_scan(search), _FOUND))
-    return result
+        found = texts.select("doc_id", "text_hash", "text").mapInPandas(_scan(search), _FOUND)
+        result = result.unionByName(cut_lineage(found) if blocks > 1 else found)
+    if blocks == 1:
+        return result
+    shares = F.struct("common", "answer", "cosine")
+    best = result.groupBy("doc_id", "text_hash", "item_id").agg(F.max(shares).alias("best"), F.count("*").alias("n"))
+    return best.select("doc_id", "text_hash", "item_id", "best.*")
+
+
+def _pieces(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text, end`` of the items, those longer than half a block in overlapping pieces."""
+    step = BLOCK_BYTES // 2 // 4
+    text = F.col("text").cast("string")
+    starts = F.sequence(F.lit(0), F.greatest(F.floor((F.char_length(text) - 1) / step), F.lit(0)).cast("int"))
+    return (
+        benchmark.filter("text is not null")
+        .select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), F.explode(starts).alias("piece"))
+        .select(
+            "item_id",
+            F.substring("text", F.col("piece") * step + 1, F.lit(step + OVERLAP)).alias("text"),
+            F.right("text", F.lit(OVERLAP)).alias("end"),
+        )
+    )
+
+
+def skipped_items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, words`` of the items that are too short to be searched, null ones included."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [0 if t is None else len(tokens(t)) for t in batch["text"]]
+            yield pd.DataFrame({"item_id": batch["item_id"].astype("Int64"), "words": words})
+
+    own = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return own.mapInPandas(count, "item_id long, words int").filter(F.col("words") < LEAST_ITEM)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
