@@ -33,6 +33,24 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Copies of one row that a task lays out.
+COPIES_AT_ONCE = 20_000
+
+
+def numbered_copies(counted: DataFrame, n: str = "n") -> DataFrame:
+    """Every row of a stored table as often as ``n`` says, numbered from 0 in ``copy``.
+
+    Rows with many copies are laid out in stretches by many tasks.
+    """
+    few = counted.filter(F.col(n) <= COPIES_AT_ONCE)
+    first = F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(COPIES_AT_ONCE).cast("long"))
+    dealt = counted.filter(F.col(n) > COPIES_AT_ONCE).withColumn("_first", F.explode(first))
+    dealt = dealt.repartition(F.col("_first"), F.col(n))
+    last = F.least(F.col("_first") + COPIES_AT_ONCE, F.col(n)) - 1
+    many = dealt.withColumn("copy", F.explode(F.sequence(F.col("_first"), last))).drop("_first")
+    return few.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))).unionByName(many)
+
+
 def objects(values: Iterable) -> pd.Series:
     """A pandas column of Python objects. Texts that pandas takes as strings of its own may come in chunks,
     which Spark's Arrow writer refuses."""

@@ -6,7 +6,7 @@ one level L with ``target = min(cap, L * weight)``, so L is read off running tot
 order in which they would be clamped.
 
 A document is taken ``floor(target / size)`` whole times, and once more if it is among the first in seeded
-hash order whose words fill the rest of its source's target. That place in the order is found by two rounds
+hash order whose words fill the rest of its source's target. Rows equal in id, source and text have a key for each copy. That place in the order is found by two rounds
 of totals per hash prefix; only the documents of the last prefix, about one in 16 million, are ordered.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.llm.common import WORD
+from footfall.llm.common import WORD, numbered_copies
 from footfall.session import cut_lineage
 
 #: Production parameters.
@@ -35,6 +35,19 @@ def hash_key(seed: str) -> Column:
     return F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.col("text"))), 1, 16)
 
 
+def copy_key() -> Column:
+    """The key of copy number ``copy`` among rows that share a key; the first keeps it."""
+    return F.when(F.col("copy") == 0, F.col("key")).otherwise(
+        F.substring(F.md5(F.concat_ws(":", F.col("key"), F.col("copy").cast("string"))), 1, 16)
+    )
+
+
+def _copied(sized: DataFrame) -> DataFrame:
+    """Rows with a key each, stored: equal rows are counted first and numbered, so none is a hot key."""
+    counted = cut_lineage(sized.groupBy(*sized.columns).agg(F.count("*").alias("n")))
+    return cut_lineage(numbered_copies(counted).withColumn("key", copy_key()).drop("n", "copy"))
+
+
 def water_fill(sources: DataFrame, weights: tuple[int, ...], most_epochs: int) -> DataFrame:
     """``source, source_size`` → with ``target``. Sources by code point, null last, weigh ``weights`` in turn.
 
@@ -142,15 +155,15 @@ def mix(
     """One row per document: ``doc_id, source, size, source_size, target, repeats, taken``.
 
     Null and empty texts have size 0; documents without a source are a source of their own, listed last.
-    Rows with equal id and text share a key and are taken alike. An empty table gives an empty one. Equal
-    input gives equal output however it is partitioned.
+    Rows with equal id, source and text are counted, numbered and taken one by one. An empty table gives an
+    empty one. Equal input gives equal output however it is partitioned.
     """
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("text").cast("string").alias("text"),
     )
-    sized = cut_lineage(
+    sized = _copied(
         own.select("doc_id", "source", hash_key(seed).alias("key"), word_count(F.col("text")).alias("size"))
     )
     plan = cut_lineage(mixing_plan(sized.drop("doc_id"), weights, most_epochs))
@@ -171,7 +184,8 @@ def mixed(
     """The mixture itself: every document as often as it is taken, with all its columns.
 
     Only the plan, one row per source, is joined to the texts; these are not shuffled unless there are more
-    than ``MOST_BROADCAST`` sources.
+    than ``MOST_BROADCAST`` sources. Rows that share id, source and text are reduced to different rows with their
+    counts before anything else; their copies are taken one by one.
     """
     row = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
@@ -180,10 +194,32 @@ def mixed(
         F.col("text").cast("string").alias("text"),
     )
     keyed = row.select("_row", "source", "text", hash_key(seed).alias("key"))
-    sized = cut_lineage(keyed.select("source", "key", word_count(F.col("text")).alias("size")))
+    counted = cut_lineage(
+        keyed.select("source", "key", word_count(F.col("text")).alias("size"))
+        .groupBy("source", "key", "size")
+        .agg(F.count("*").alias("n"))
+    )
+    sized = cut_lineage(numbered_copies(counted).withColumn("key", copy_key()).drop("n", "copy"))
     plan = cut_lineage(mixing_plan(sized, weights, most_epochs))
-    counted = _null_safe(keyed.drop("text"), bounded(plan), "inner").withColumn("_times", repeats(most_epochs))
-    copies = counted.filter("_times > 0").select(
+    shared = counted.filter("n > 1").select(F.col("source").alias("_source"), F.col("key").alias("_key"))
+    same = (F.col("key") == F.col("_key")) & F.col("source").eqNullSafe(F.col("_source"))
+    alone = keyed.drop("text").join(shared, same, "left_anti")
+    taken = _null_safe(alone, bounded(plan), "inner").select("_row", repeats(most_epochs).alias("_times"))
+    if not shared.isEmpty():
+        taken = taken.unionByName(_of_copies(keyed.drop("text").join(shared, same, "left_semi"), plan, most_epochs))
+    copies = taken.filter("_times > 0").select(
         "_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("_copy")
     )
     return copies.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+
+
+def _of_copies(keyed: DataFrame, plan: DataFrame, most_epochs: int) -> DataFrame:
+    """``_row, _times`` of rows that share their key with others: different ones in a fixed order, equal ones counted."""
+    different = cut_lineage(keyed.groupBy("_row", "source", "key").agg(F.count("*").alias("n")))
+    order = Window.partitionBy("source", "key").orderBy(F.xxhash64("_row"), F.to_json("_row"))
+    ahead = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = cut_lineage(different.select("*", ahead.alias("_ahead"), F.monotonically_increasing_id().alias("_id")))
+    numbered = numbered_copies(placed.drop("_row")).withColumn("copy", F.col("copy") + F.col("_ahead"))
+    keys = numbered.withColumn("key", copy_key())
+    times = _null_safe(keys, bounded(plan), "inner").select("_id", repeats(most_epochs).alias("_times"))
+    return times.filter("_times > 0").join(placed.select("_id", "_row"), "_id").select("_row", "_times")

@@ -2,8 +2,8 @@
 
 Each inner node is cut at the weighted median of its widest metadata dimension. Dimensions live on a grid of
 65,536 levels, so a median is found from totals per (node, level); documents of the median's level are told
-apart by a hash of the whole row, first by totals per hash prefix, then by ordering the few that share the
-prefix. Nothing about single documents leaves the executors: the tables joined to the rows have one row per
+apart by a hash of the whole row and, among equal rows, of the copy's number, first by totals per hash prefix, then by
+ordering the few that share the prefix. Nothing about single documents leaves the executors: the tables joined to the rows have one row per
 node, so their size is bounded by the number of shards, a parameter.
 """
 
@@ -13,6 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from footfall.llm.common import numbered_copies
 from footfall.session import cut_lineage
 
 #: Production parameters.
@@ -114,21 +115,24 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS, metadata: tuple[str, ...] =
     Leaves are cut until there are ``shards`` of them, each with a near-equal part of all bytes (``law`` is
     ``bytes``); ``slot`` numbers the documents of a shard from 0 without gaps. Null texts weigh 1 byte and
     have the checksum of an empty text; null metadata lies at the low end; metadata columns that are missing
-    are left out. Rows equal in id and text stay together. An empty table gives an empty one.
+    are left out. Rows equal in all of these are counted, numbered and spread like different ones. An empty table
+    gives an empty one.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     present = [c for c in metadata if c in docs.columns]
     own = docs.select("text", "doc_id", *[c for c in present if c != "doc_id"])
     levels = _on_grid(own, present) or [F.lit(0)]
+    told = own.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_bytes(F.col("text").cast("string")).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64(F.col("doc_id"), text).alias("hash"),
+        F.array(*[x.cast("int") for x in levels]).alias("dims"),
+    )
+    counted = cut_lineage(told.groupBy(*told.columns).agg(F.count("*").alias("n")))
+    own_hash = F.when(F.col("copy") == 0, F.col("hash")).otherwise(F.xxhash64("hash", "copy"))
     rows = cut_lineage(
-        own.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            text_bytes(F.col("text").cast("string")).alias("size"),
-            F.crc32(text).alias("text_crc32"),
-            F.xxhash64(F.col("doc_id"), text).alias("hash"),
-            F.array(*[x.cast("int") for x in levels]).alias("dims"),
-            F.lit(0).alias("node"),
-        )
+        numbered_copies(counted).withColumn("hash", own_hash).drop("n", "copy").withColumn("node", F.lit(0))
     )
     leaves = cut_lineage(
         docs.sparkSession.range(1).select(
