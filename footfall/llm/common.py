@@ -33,6 +33,17 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def bounded_sample(docs: DataFrame, rows: int) -> DataFrame:
+    """``doc_id, text`` of at most ``rows`` different pairs of id and text, those with the smallest hashes.
+
+    Rows without an id or a text are left out; copies of a pair count once, so no id brings more rows than the bound.
+    """
+    own = identified(docs.filter("doc_id IS NOT NULL AND text IS NOT NULL"))
+    ids = own.select("doc_id", "text_hash").distinct().orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id").limit(rows)
+    chosen = own.join(F.broadcast(ids), ["doc_id", "text_hash"], "left_semi")
+    return chosen.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text")
+
+
 #: Copies of one row that a task lays out.
 COPIES_AT_ONCE = 20_000
 

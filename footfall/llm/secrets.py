@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and character Markov models for everything that looks random.
 
 Two first-order character models are trained, one of random strings and one of ordinary identifiers and
-words. A run of token characters is reported if its log-likelihood ratio per character and in total is above
+words: those of the texts, and ones made of their words in the ways identifiers are written. Both classes back off
+alike to what characters they hold at all, and no single pair of characters weighs more than ``MOST_PAIR``, so a pair
+that ordinary strings never showed does not make a string random. A run of token characters is reported if its log-likelihood ratio per character and in total is above
 the thresholds, or else those of its best sub-runs for which that holds, so ordinary text around a random string
 does not hide it. Counting is a Spark job over labelled strings; only the two tables of character pairs, whose
 size is fixed, reach the driver.
@@ -9,7 +11,9 @@ size is fixed, reach the driver.
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm.common import objects, span_digest, span_text
+from footfall.llm.common import bounded_sample, objects, span_digest, span_text
 
 Span = tuple[str, int, int]
 
@@ -37,6 +41,9 @@ GENERATED = 4_000
 LEAST_CHARS = 20
 LEAST_RATIO = 0.9
 LEAST_TOTAL = 24.0
+BACK_OFF = 20.0  # pairs' worth of the back-off distribution
+MOST_PAIR = 2.5
+MADE_PER_DOC = 5  # identifiers made of a training document's words
 SCAN_RATIO = 0.45  # a pair below it speaks against a sub-run
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -94,7 +101,11 @@ class RandomnessModel:
 
 
 def fit(samples: DataFrame) -> RandomnessModel:
-    """Train on ``text, random`` (1 for random strings). Null texts are skipped; unseen pairs are smoothed."""
+    """Train on ``text, random`` (1 for random strings); repeated rows count as often as they come.
+
+    Null texts and labels are skipped. A pair's probability is shared between its count and the class's characters,
+    half of them uniform; without rows all ratios are 0.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((2, _SIZE, _SIZE), dtype=np.int64)
@@ -112,17 +123,45 @@ def fit(samples: DataFrame) -> RandomnessModel:
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    totals = np.full((2, _SIZE, _SIZE), 0.5)
+    totals = np.zeros((2, _SIZE, _SIZE))
     np.add.at(totals, (pairs["random"].to_numpy(int), pairs["a"].to_numpy(int), pairs["b"].to_numpy(int)), pairs["n"].to_numpy(float))
-    logs = np.log(totals / totals.sum(axis=2, keepdims=True))
-    return RandomnessModel(logs[1] - logs[0])
+    characters = totals.sum(axis=1) + 1
+    behind = 0.5 * characters / characters.sum(axis=1, keepdims=True) + 0.5 / _SIZE
+    logs = np.log((totals + BACK_OFF * behind[:, None, :]) / (totals.sum(axis=2, keepdims=True) + BACK_OFF))
+    return RandomnessModel(np.clip(logs[1] - logs[0], -MOST_PAIR, MOST_PAIR))
+
+
+def identifiers(words: list[str], chance: random.Random, n: int) -> list[str]:
+    """Ordinary strings as programs and paths hold them: joined words in all the usual cases, numbers, repeated
+    characters and stretches of an alphabet."""
+    plain = [w.lower() for w in words if w.isalpha() and w.isascii()] or ["word"]
+    found = []
+    for _ in range(n):
+        some = [chance.choice(plain) for _ in range(chance.randint(2, 5))]
+        start, length = chance.randrange(len(_ALPHABET) - 12), chance.randint(6, 40)
+        ways = (
+            lambda: "".join(w.title() for w in some),
+            lambda: some[0] + "".join(w.title() for w in some[1:]),
+            lambda: "_".join(some),
+            lambda: "-".join(some),
+            lambda: "/".join(some),
+            lambda: "_".join(some).upper(),
+            lambda: "".join(some),
+            lambda: f"{'_'.join(some)}_{chance.randint(1, 99_999)}",
+            lambda: chance.choice(_ALPHABET) * length,
+            lambda: "".join(chance.choice("0123456789") for _ in range(length)),
+            lambda: _ALPHABET[start : start + length],
+        )
+        found.append(chance.choice(ways)())
+    return found
 
 
 def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, generated: int = GENERATED) -> DataFrame:
-    """Labelled strings: values and words of ``sample_docs`` documents, and generated random strings.
+    """Labelled strings: values and words of ``sample_docs`` documents, identifiers made of the words, and generated
+    random strings.
 
-    The documents are those with the smallest hashes of their ids, a bound on the rows that train the models.
-    Values matched by the fixed patterns are random, other words ordinary.
+    The documents are those with the smallest hashes, a bound on the rows that train the models. Values
+    matched by the fixed patterns are random, other words ordinary.
     """
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,15 +177,13 @@ def labelled_samples(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, generated:
                     texts.append(value)
                     labels.append(1)
                 rest.append(text[at:])
-                words = {w for w in re.findall(r"[A-Za-z0-9+/_=-]{6,}", " ".join(rest))}
-                texts.extend(sorted(words))
+                words = sorted({w for w in re.findall(r"[A-Za-z0-9+/_=-]{6,}", " ".join(rest))})
+                words += identifiers(words, random.Random(zlib.crc32(text.encode("utf-8", "replace"))), MADE_PER_DOC)
+                texts.extend(words)
                 labels.extend([0] * len(words))
             yield pd.DataFrame({"text": objects(texts), "random": labels})
 
-    ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    chosen = docs.filter("text is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(ids.distinct()), "doc_id", "left_semi"
-    )
+    chosen = bounded_sample(docs, sample_docs)
     return chosen.select("text").mapInPandas(label, "text string, random int").unionByName(
         random_strings(docs.sparkSession, generated)
     )
