@@ -1,8 +1,10 @@
 """Personal data in texts: fixed patterns, and a linear-chain conditional random field over word shapes.
 
-The field is trained from a small labelled table of word windows and decoded by Viterbi in numpy batches. Its
-features are the shape of a word and of its neighbours; a shape keeps the lengths of digit runs and all
-punctuation. Texts are decoded whole: words whose emission rules every other tag out whatever their
+The field is trained from a small labelled table of word windows and decoded by Viterbi in numpy batches. The table
+holds windows of documents, labelled by the fixed patterns, and written variants that the patterns miss, beside
+look-alikes such as dates, versions and prices. A shape keeps the lengths of digit runs and all punctuation; its
+features (:func:`features`) are shared by shapes that were never seen, and count for the word itself, its left and
+its right neighbour. Texts are decoded whole: words whose emission rules every other tag out whatever their
 neighbours are (a bound from the learned transitions) cut a text into short runs, and the runs of a batch are
 decoded together, which gives the same tags as decoding each text in one go.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import functools
+import random
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -20,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.llm.common import objects, span_digest, span_text
+from footfall.llm.common import bounded_sample, objects, span_digest, span_text
 from footfall.session import cut_lineage
 
 Span = tuple[str, int, int]
@@ -41,6 +44,8 @@ WINDOWS = 2_000
 SIDE = 3
 ROUNDS = 120
 PENALTY = 0.02
+VARIANTS = 2_000  # written variants and look-alikes in the labelled table
+MOST_SHAPES = 20_000  # shapes whose weights a task remembers
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
@@ -134,6 +139,147 @@ def _shape(word: bytes) -> str:
     return "".join(p for i, p in enumerate(parts) if i == 0 or p != parts[i - 1])
 
 
+_PART = re.compile(r"d[0-9]+|[xX]|[^xXd]", re.S)
+
+
+def features(shape_: str) -> list[str]:
+    """What a shape is made of: itself, digit runs and what joins them, its ends, letters, and at signs."""
+    parts = _PART.findall(shape_)
+    runs = [int(p[1:]) for p in parts if p[0] == "d"]
+    found = [f"first {parts[0][0]}", f"last {parts[-1][0]}"] if parts else []
+    if len(shape_) <= 40:
+        found.append(f"shape {shape_}")
+    if any(p in "xX" for p in parts):
+        found.append("letters" if runs else "only letters")
+    if runs:
+        inner = parts[next(i for i, p in enumerate(parts) if p[0] == "d") :]
+        joins = {p for p in inner if p[0] not in "dxX"}
+        found += [
+            f"runs {'-'.join(map(str, runs[:8]))}",
+            f"run count {min(len(runs), 8)}",
+            f"digits {min(sum(runs), 20)}",
+            f"longest {min(max(runs), 12)}",
+            f"joined by {''.join(sorted(joins))[:6]}",
+        ]
+    if "@" in shape_:
+        name, _, domain = shape_.partition("@")
+        found += ["at", f"at {bool(name)} {domain[:1].isalnum()} {'.' in domain} {shape_.count('@')}"]
+    if re.search(r"[\[({](x|X|\.|@)[\])}]", shape_):
+        found += ["written out", f"written out {'x' in shape_ or 'X' in shape_} {bool(runs)}"]
+    return found
+
+
+class Made:
+    """Seeded variants of personal data that the fixed patterns miss, and look-alikes, as words with their tag."""
+
+    def __init__(self, seed: int | str) -> None:
+        self.own = random.Random(seed)
+
+    def number(self, *sizes: int) -> list[str]:
+        return ["".join(self.own.choice("0123456789") for _ in range(n)) for n in sizes]
+
+    def name(self) -> str:
+        return "".join(self.own.choice("abcdefghijklmnoprstuvwyz") for _ in range(self.own.randint(2, 9)))
+
+    def card_digits(self) -> str:
+        found = self.own.choice("3456") + "".join(self.number(14))
+        return found + next(c for c in "0123456789" if luhn(found + c))
+
+    def phone(self) -> str:
+        sizes = self.own.choice(((3, 3, 4), (3, 4, 4), (4, 3, 4), (2, 4, 4), (5, 6), (3, 3, 3), (2, 3, 3, 2), (1, 3, 3, 4)))
+        parts = self.number(*sizes)
+        join = self.own.choice(("-", ".", " ", " ", "/"))
+        way = self.own.randrange(5)
+        if way == 0:
+            return f"({parts[0]}) " + join.join(parts[1:])
+        if way == 1:
+            return f"({parts[0]})" + join.join(parts[1:])
+        return join.join(parts)
+
+    def card(self) -> str:
+        digits = self.card_digits()
+        parts = [digits[i : i + 4] for i in range(0, 16, 4)]
+        if self.own.random() < 0.2:
+            parts = [digits[:4], digits[4:10], digits[10:]]
+        return self.own.choice((".", "/", "_", "\u2013", ":", " - ", ",")).join(parts)
+
+    def ip(self) -> str:
+        parts = [str(self.own.randint(0, self.own.choice((9, 99, 255, 255)))) for _ in range(4)]
+        way = self.own.randrange(4)
+        if way == 0:
+            return "[.]".join(parts)
+        if way == 1:
+            return ".".join(parts[:3]) + "[.]" + parts[3]
+        return self.own.choice(("(.)", "{.}")).join(parts)
+
+    def email(self) -> str:
+        name, host = self.own.choice((self.name(), f"{self.name()}.{self.name()}", f"{self.name()}{self.own.randint(1, 99)}")), self.name()
+        way = self.own.randrange(5)
+        if way == 0:
+            return f"{name}@{host}"
+        if way == 1:
+            return f"{name}@{host[:2]}\u00fc{host[2:]}.{self.name()[:3]}"
+        at = self.own.choice(("[at]", "(at)", "{at}", "[@]", "(@)"))
+        return f"{name}{at}{host}{self.own.choice(('.', '[.]', '(.)'))}{self.name()[:3]}"
+
+    def alike(self) -> str:
+        own, n = self.own, self.own.randint
+        return own.choice(
+            (
+                lambda: f"{n(1900, 2040)}-{n(1, 12):02d}-{n(1, 28):02d}",
+                lambda: f"{n(1, 28):02d}.{n(1, 12):02d}.{n(1900, 2040)}",
+                lambda: f"{n(1, 12)}/{n(1, 28)}/{n(1900, 2040)}",
+                lambda: f"{n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}",
+                lambda: f"{n(1900, 2040)}-{n(1, 12):02d}-{n(1, 28):02d} {n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}",
+                lambda: f"{n(1900, 2040)}-{n(1, 12):02d}-{n(1, 28):02d}T{n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}Z",
+                lambda: f"{n(1700, 2040)}-{n(1700, 2040)}",
+                lambda: f"{n(1, 30)}.{n(0, 30)}.{n(0, 99)}",
+                lambda: f"v{n(1, 30)}.{n(0, 30)}",
+                lambda: f"978-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)}",
+                lambda: f"{n(1, 999)},{n(0, 999):03d},{n(0, 999):03d}.{n(0, 99):02d}",
+                lambda: f"{n(1, 99)}.{n(0, 9999):04d}",
+                lambda: f"{n(0, 10**12)}",
+                lambda: f"{n(1, 999)}-{n(1, 999)}",
+                lambda: f"({n(1, 9999)})",
+                lambda: f"[{n(1, 99)}] {n(1, 99)}:{n(1, 99)}",
+                lambda: f"{n(1, 99)} {n(1, 99)} {n(1, 99)} {n(1, 99)}",
+                lambda: f"{n(10000, 99999)} {n(1900, 2040)}",
+                lambda: f"{self.name()}[{n(0, 99)}]",
+                lambda: f"({self.name()})",
+                lambda: f"{self.name()}({self.name()})",
+                lambda: f"@{self.name()}",
+                lambda: f"{self.name()}@",
+                lambda: f"{n(1, 99)}x{n(1, 99)}x{n(1, 99)}",
+                lambda: f"{self.name()}/{self.name()}.{self.name()[:3]}?id={n(1, 99999)}",
+                lambda: f"-{n(1, 99)}.{n(0, 999999):06d},{n(1, 99)}.{n(0, 999999):06d}",
+            )
+        )()
+
+    def example(self) -> tuple[str, str]:
+        kind = self.own.choice((*KINDS, "none", "none", "none"))
+        return (kind, self.alike() if kind == "none" else getattr(self, kind)())
+
+    def window(self, side: int = SIDE) -> tuple[list[str], list[int]]:
+        """Words and tags of an example between ordinary words; a variant that the patterns find is drawn anew."""
+        kind, found = self.example()
+        while kind != "none" and any(base_spans(found).values()):
+            kind, found = self.example()
+        ordinary = [self.own.choice(("{}", "{}", "{}", "{},", "{}.", "{}:", "({}", "{})")) for _ in range(2 * side)]
+        around = [w.format(self.name().title() if self.own.random() < 0.2 else self.name()) for w in ordinary]
+        words = (found + self.own.choice(("", "", "", ".", ",", ")"))).split()
+        before, after = around[: self.own.randint(0, side)], around[side : side + self.own.randint(0, side)]
+        return [*before, *words, *after], [0] * len(before) + [TAGS.index(kind)] * len(words) + [0] * len(after)
+
+
+def variant_windows(rows: int = VARIANTS, seed: int | str = "train") -> pd.DataFrame:
+    """The part of the labelled table that is written out: ``shapes, tags, n``."""
+    made, counted = Made(seed), Counter()
+    for _ in range(rows):
+        words, tags = made.window()
+        counted[tuple(shape(classes(w)[0]) for w in words), tuple(tags)] += 1
+    return pd.DataFrame([(list(a), list(b), n) for (a, b), n in counted.items()], columns=["shapes", "tags", "n"])
+
+
 def labelled_windows(
     docs: DataFrame, sample_docs: int = SAMPLE_DOCS, windows: int = WINDOWS, side: int = SIDE
 ) -> DataFrame:
@@ -166,10 +312,7 @@ def labelled_windows(
                     rows[tuple(shapes[low : i + side + 1]), tuple(tags[low : i + side + 1])] += 1
             yield pd.DataFrame([(a, b, n) for (a, b), n in rows.items()], columns=["shapes", "tags", "n"])
 
-    ids = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    chosen = docs.filter("text is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(
-        F.broadcast(ids.distinct()), "doc_id", "left_semi"
-    )
+    chosen = bounded_sample(docs, sample_docs)
     found = chosen.select("text").mapInPandas(label, "shapes array<string>, tags array<int>, n long")
     ranked = cut_lineage(found.groupBy("shapes", "tags").agg(F.sum("n").alias("n")))
     tagged = F.exists("tags", lambda t: t > 0)
@@ -180,11 +323,16 @@ def labelled_windows(
 
 @dataclass
 class Field:
-    """Weights of the chain: per shape for the word itself, its left and right neighbour; transitions."""
+    """Weights of the chain: per shape for the word itself, its left and right neighbour; transitions.
+
+    A shape weighs what its features weigh; shapes met later are added by :meth:`knowing`.
+    """
 
     shapes: dict[str, int]
     weights: np.ndarray  # 3 × (features + 1) × tags; the last row stands for unseen shapes
     moves: np.ndarray
+    parts: dict[str, int] = field(default_factory=dict)
+    shared: np.ndarray | None = None  # 3 × features × tags
     lead: np.ndarray = field(init=False)  # weights over those of no tag
     pull: np.ndarray = field(init=False)  # per tag, the most that its neighbours' tags can add over no tag
     may_open: np.ndarray = field(init=False)  # per shape, whether some neighbours let it have a tag
@@ -200,6 +348,18 @@ class Field:
     def place(self, word: bytes) -> int:
         return self.shapes.get(shape(word), len(self.shapes))
 
+    def knowing(self, shapes: list[str]) -> Field:
+        """The field with further shapes, whose places follow those of the known ones."""
+        if not shapes or self.shared is None:
+            return self
+        known, more = len(self.shapes), np.zeros((3, len(shapes), len(TAGS)))
+        for i, name in enumerate(shapes):
+            at = [self.parts[f] for f in features(name) if f in self.parts]
+            more[:, i] = self.shared[:, at].sum(axis=1)
+        weights = np.concatenate([self.weights[:, :known], more, self.weights[:, known:]], axis=1)
+        places = {**self.shapes, **{name: known + i for i, name in enumerate(shapes)}}
+        return Field(places, weights, self.moves, self.parts, self.shared)
+
 
 def emissions(weights: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return weights[0][own] + weights[1][left] + weights[2][right]
@@ -225,8 +385,15 @@ def train(table: pd.DataFrame, rounds: int = ROUNDS, penalty: float = PENALTY) -
         gold[i, : len(row)] = labels
         mask[i, : len(row)] = True
     left, centre, right = own[:, :-2], own[:, 1:-1], own[:, 2:]
-    weights, moves = np.zeros((3, len(names) + 2, tags)), np.zeros((tags, tags))
-    steps = [np.zeros_like(weights), np.zeros_like(moves)]
+    known = [features(name) for name in names]
+    times_seen = Counter(f for found in known for f in found)
+    parts = {f: i for i, f in enumerate(sorted(times_seen))}
+    holds = np.zeros((len(names) + 2, len(parts)))
+    for i, found in enumerate(known):
+        holds[i, [parts[f] for f in found]] = 1
+    shared, moves = np.zeros((3, len(parts), tags)), np.zeros((tags, tags))
+    weights = np.zeros((3, len(names) + 2, tags))
+    steps = [np.zeros_like(shared), np.zeros_like(moves)]
     truth, true_moves = np.zeros_like(weights), np.zeros_like(moves)
     times = table["n"].to_numpy(float)
     weighed = mask * times[:, None]
@@ -236,6 +403,7 @@ def train(table: pd.DataFrame, rounds: int = ROUNDS, penalty: float = PENALTY) -
     both = mask[:, 1:] & mask[:, :-1]
     np.add.at(true_moves, (gold[:, :-1][both], gold[:, 1:][both]), weighed[:, 1:][both])
     for _ in range(rounds if rows else 0):
+        weights = holds @ shared
         scores = emissions(weights, centre, left, right)
         forward, backward = np.zeros_like(scores), np.zeros_like(scores)
         forward[:, 0] = scores[:, 0]
@@ -253,14 +421,14 @@ def train(table: pd.DataFrame, rounds: int = ROUNDS, penalty: float = PENALTY) -
         pairs = forward[:, :-1, :, None] + moves + (scores + backward)[:, 1:, None, :] - total[:, None, None, None]
         expected_moves = (np.exp(np.minimum(pairs, 0)) * (both * times[:, None])[..., None, None]).sum(axis=(0, 1))
         for value, step, gradient in (
-            (weights, steps[0], truth - expected - penalty * weights),
+            (shared, steps[0], holds.T @ (truth - expected) - penalty * shared),
             (moves, steps[1], true_moves - expected_moves - penalty * moves),
         ):
             step += gradient**2
             value += 0.5 * gradient / np.sqrt(step + 1e-8)
+    weights = holds @ shared
     weights[:, unseen] = weights[:, edge] = 0
-    weights[0, unseen, 0] = 1.0
-    return Field(shapes, weights, moves)
+    return Field(shapes, weights, moves, parts, shared)
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, first: np.ndarray, last: np.ndarray, moves: np.ndarray) -> np.ndarray:
@@ -321,18 +489,22 @@ def decode(field_: Field, own: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return tags
 
 
-class Places(dict):
-    """Shape places of the words met so far; emptied when it is full."""
+class Places:
+    """Shape places of the words met so far, and the field that knows them; both start anew when they are full."""
 
     def __init__(self, field_: Field):
-        super().__init__()
-        self.field = field_
+        self.trained = self.field = field_
+        self.words: dict[bytes, int] = {}
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        place = self[word] = self.field.place(word)
-        return place
+    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Places of the words of a batch of texts; shapes they bring are added first."""
+        if len(self.words) >= _CACHED_WORDS or len(self.field.shapes) >= MOST_SHAPES + len(self.trained.shapes):
+            self.field, self.words = self.trained, {}
+        new = set().union(*texts).difference(self.words)
+        shapes = {w: shape(w) for w in new}
+        self.field = self.field.knowing(sorted({x for x in shapes.values() if x not in self.field.shapes}))
+        self.words.update((w, self.field.shapes.get(x, len(self.field.shapes))) for w, x in shapes.items())
+        return [np.fromiter(map(self.words.__getitem__, words), dtype=np.int32, count=len(words)) for words in texts]
 
 
 _EDGES = re.compile(r"[+(]?[A-Za-z0-9].*[A-Za-z0-9]|[A-Za-z0-9]", re.S)
@@ -360,25 +532,29 @@ def field_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     return added
 
 
+_AT = re.compile(r"@|[\[({](?:at|@)[\])}]", re.I)
+_DOT = re.compile(r"[\[({]\.[\])}]")
+
+
 def _holds(kind: str, text: str) -> bool:
+    """Whether a run the field tagged has what its kind cannot do without, written variants read as meant."""
     if kind == "email":
-        return 0 < text.find("@") < len(text) - 1
+        name, *domain = _AT.split(text)
+        return bool(name) and len(domain) == 1 and any(c.isalpha() for c in domain[0]) and not text.isdigit()
     if kind == "ip":
-        return bool(IP.fullmatch(text)) and valid("ip", text)
-    return valid(kind, text) and not re.search(r"[A-Za-z]", text)
+        plain = _DOT.sub(".", text)
+        return bool(IP.fullmatch(plain)) and valid("ip", plain)
+    return valid(kind, text) and not any(c.isalpha() for c in text)
 
 
 def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         places = Places(field_)
         for batch in batches:
-            texts, own, starts, at = batch["text"].tolist(), [], [], 0
-            for text in texts:
-                words = classes(text)
-                own.append(np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words)))
-                starts.append(at)
-                at += len(words)
-            tags = decode(field_, np.concatenate(own) if own else np.zeros(0, np.int32), np.array(starts, dtype=int))
+            texts = batch["text"].tolist()
+            own = places.of([classes(text) for text in texts])
+            starts = np.cumsum([0, *map(len, own)])[:-1].tolist()
+            tags = decode(places.field, np.concatenate(own) if own else np.zeros(0, np.int32), np.array(starts, dtype=int))
             rows = []
             for text, start, words in zip(texts, starts, own):
                 found = base_spans(text)
@@ -399,8 +575,11 @@ def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, windows: int = WINDOWS) -> Field:
-    """Train on labelled windows of the documents; their number is bounded by ``windows``."""
-    return train(labelled_windows(docs, sample_docs, windows).toPandas())
+    """Train on labelled windows of the documents, whose number is bounded by ``windows``, and on ``VARIANTS`` variants.
+
+    Documents without an id or a text are left out, copies count once; without documents the variants alone train it.
+    """
+    return train(pd.concat([labelled_windows(docs, sample_docs, windows).toPandas(), variant_windows()], ignore_index=True))
 
 
 def find_personal(docs: DataFrame, field_: Field) -> DataFrame:
