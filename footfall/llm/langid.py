@@ -24,7 +24,7 @@ BUCKETS = 1 << 14
 AMBIGUOUS = 0.2
 UNKNOWN = "und"
 
-_AT_ONCE = 1 << 18  # characters
+_AT_ONCE = 1 << 18  # bytes
 _MOST_EXHAUSTIVE = 5
 _WEIGHTY = 60.0
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -35,29 +35,37 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def buckets(text: str) -> np.ndarray:
-    """Hash buckets of the n-grams of the lower-case UTF-8 bytes; what is not a letter counts as a blank.
+def letters(text: str) -> np.ndarray:
+    """The lower-case UTF-8 bytes of a text between blanks; what is not a letter is a blank."""
+    return np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace").translate(_LETTERS), dtype=np.uint8)
+
+
+def buckets(raw: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Hash buckets of the n-grams that start at places ``first`` to ``last`` (exclusive; None: to the end).
 
     n-grams that end in two blanks are left out, so blanks between words count once.
     """
-    raw = np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace").translate(_LETTERS), dtype=np.uint8)
-    blank = raw == 32
-    codes, found = raw.astype(np.uint32), []
+    last = len(raw) if last is None else last
+    part = raw[first : last + max(LENGTHS) - 1]
+    blank = part == 32
+    codes, found = part.astype(np.uint32), []
     value = codes.copy()
     for n in range(2, max(LENGTHS) + 1):
         value = value[:-1] * np.uint32(257) + codes[n - 1 :]
         if n in LENGTHS:
             mixed = (value ^ (value >> np.uint32(15))) * np.uint32(0x9E3779B1)
             ends = ~(blank[n - 1 :] & blank[n - 2 : -1])
+            ends[last - first :] = False
             found.append((mixed >> np.uint32(32 - BUCKETS.bit_length() + 1))[ends])
     return np.concatenate(found)
 
 
 def counted(text: str) -> np.ndarray:
-    """How often each bucket occurs in the whole text, taken piece by piece."""
-    total = np.zeros(BUCKETS, dtype=np.int64)
-    for at in range(0, len(text), _AT_ONCE):
-        total += np.bincount(buckets(text[max(0, at - max(LENGTHS) + 1) : at + _AT_ONCE]), minlength=BUCKETS)
+    """How often each bucket occurs in the whole text; long texts are counted in stretches of starts, with the
+    same result."""
+    raw, total = letters(text), np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, len(raw), _AT_ONCE):
+        total += np.bincount(buckets(raw, at, min(at + _AT_ONCE, len(raw))), minlength=BUCKETS)
     return total
 
 

@@ -38,7 +38,7 @@ def test_base_kinds_equal_the_plain_patterns(kind):
     own = random.Random(kind)
     pieces = ("1", "25", "255", "256", ".", ".", ".", "+", "-", " ", "(", ")", "x", "\n", "4111", "1111 1111", "0" * 5, "٣")
     if kind == "ip":
-        pieces = ("1", "25", "255", "256", ".", ".", ".", ".", ".", " ", "x", "0" * 5, "٣")
+        pieces = ("1", "25", "256", "0", ".", ".", ".", ".", ".", " ")
     hits = 0
     for _ in range(6000):
         text = "".join(own.choice(pieces) for _ in range(own.randint(0, 18)))
