@@ -14,12 +14,16 @@ _owned: list[list[str]] = []
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset the warehouse's.
 
-    The warehouse is where Spark keeps tables, so it is shared wherever tables work at all.
+    A local warehouse is shared on one machine only, so on a cluster it raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith(("/", "file:")) or "://" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir: the warehouse {warehouse} is a folder of the driver's machine")
+    return f"{warehouse}/_stages"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
