@@ -16,7 +16,7 @@ import functools
 import random
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -496,15 +496,23 @@ class Places:
         self.trained = self.field = field_
         self.words: dict[bytes, int] = {}
 
-    def of(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Places of the words of a batch of texts; shapes they bring are added first."""
-        if len(self.words) >= _CACHED_WORDS or len(self.field.shapes) >= MOST_SHAPES + len(self.trained.shapes):
+    def of(self, texts: Iterable[list[bytes]]) -> list[np.ndarray]:
+        """Places of the words of a batch of texts, taken one by one; shapes they bring are added at the end."""
+        if len(self.field.shapes) >= MOST_SHAPES + len(self.trained.shapes):
             self.field, self.words = self.trained, {}
-        new = set().union(*texts).difference(self.words)
-        shapes = {w: shape(w) for w in new}
-        self.field = self.field.knowing(sorted({x for x in shapes.values() if x not in self.field.shapes}))
-        self.words.update((w, self.field.shapes.get(x, len(self.field.shapes))) for w, x in shapes.items())
-        return [np.fromiter(map(self.words.__getitem__, words), dtype=np.int32, count=len(words)) for words in texts]
+        known, fresh, found = self.field.shapes, {}, []
+        for words in texts:
+            if len(self.words) >= _CACHED_WORDS:
+                self.words.clear()
+            for word in set(words).difference(self.words):
+                name = shape(word)
+                place = known.get(name)
+                if place is None:
+                    place = len(known) if self.field.shared is None else fresh.setdefault(name, len(known) + len(fresh))
+                self.words[word] = place
+            found.append(np.fromiter(map(self.words.__getitem__, words), dtype=np.int32, count=len(words)))
+        self.field = self.field.knowing(list(fresh))
+        return found
 
 
 _EDGES = re.compile(r"[+(]?[A-Za-z0-9].*[A-Za-z0-9]|[A-Za-z0-9]", re.S)
@@ -552,7 +560,7 @@ def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
         places = Places(field_)
         for batch in batches:
             texts = batch["text"].tolist()
-            own = places.of([classes(text) for text in texts])
+            own = places.of(map(classes, texts))
             starts = np.cumsum([0, *map(len, own)])[:-1].tolist()
             tags = decode(places.field, np.concatenate(own) if own else np.zeros(0, np.int32), np.array(starts, dtype=int))
             rows = []
