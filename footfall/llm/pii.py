@@ -50,6 +50,7 @@ MOST_SHAPES = 20_000  # shapes whose weights a task remembers
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
 _CACHED_WORDS = 300_000
+_TEXTS = 1_000  # texts decoded together
 
 
 def luhn(digits: str) -> bool:
@@ -558,7 +559,7 @@ def _holds(kind: str, text: str) -> bool:
 def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         places = Places(field_)
-        for batch in batches:
+        for batch in (b.iloc[at : at + _TEXTS] for b in batches for at in range(0, len(b), _TEXTS)):
             texts = batch["text"].tolist()
             own = places.of(map(classes, texts))
             starts = np.cumsum([0, *map(len, own)])[:-1].tolist()
@@ -572,7 +573,7 @@ def _scan(field_: Field) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataF
                 rows.append((base, in_order(base + more), {k: len(found[k]) for k in KINDS}))
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"],
+                    "doc_id": batch["doc_id"].array,
                     **{f"n_{kind}": [r[2][kind] for r in rows] for kind in KINDS},
                     "base_sha256": objects(span_digest(r[0]) for r in rows),
                     "spans": objects(span_text(r[1]) for r in rows),
