@@ -97,7 +97,8 @@ def permutation_of_customers(s: Standins) -> DataFrame:
 
 def shapley_of_fixed_tree(s: Standins) -> DataFrame:
     vectors = customer_vectors(s, F.col("c_acctbal"), F.col("c_nationkey"), F.col("c_custkey"))
-    return attribution.leaf_summary(LEAVES, vectors, ["balance", "nation", "unused"], "c_custkey", False)
+    leaves = attribution.as_leaves(s.spark, LEAVES)
+    return attribution.leaf_summary(leaves, vectors, ["balance", "nation", "unused"], "c_custkey", False)
 
 
 def saved_scaling(s: Standins) -> DataFrame:

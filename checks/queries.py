@@ -101,10 +101,9 @@ def binary_columns(s: Standins) -> DataFrame:
 
 
 def both_scores(s: Standins, metric: Callable[..., DataFrame]) -> DataFrame:
-    def one(score: str) -> DataFrame:
-        return metric(s.scored(), "actual", score).withColumn("score", F.lit(score))
-
-    return one("score_ties").unionByName(one("score_fine"))
+    scores = [F.col(c).cast("double").alias(c) for c in ("score_ties", "score_fine")]
+    rows = s.scored().select("actual", *scores).unpivot("actual", ["score_ties", "score_fine"], "score", "p")
+    return metric(rows, "actual", "p", ["score"])
 
 
 def with_prediction(s: Standins) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from footfall.operators.metrics import roc_auc
 from footfall.operators.ordering import cut_points, hash_rank
 from footfall.operators.shape import top
-from footfall.session import cut_lineage, scratch_path, staging
+from footfall.session import cut_lineage, scratch_path
 
 IMPORTANCE_ROWS = 40
 SHAPLEY_ROWS = 20
 SLICE = 32
+BLOCK_ROWS = 16_384
 
 
 def _feature_names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -47,9 +49,9 @@ def permutation_importance(
 
     ``vectors`` has ``key``, ``label`` and ``features``; hand it a stored table. Each repeat is one
     permutation: rows ranked by a seeded hash take their value from the row of the same rank in
-    another hash order. Features are taken ``features_at_once``: their scores are stored, so that the AUCs
-    read instead of computing them, and removed before the next ones, so that disk grows with the rows
-    and not with rows times features. One AUC per feature and repeat reaches the driver.
+    another hash order. Scores are never stored: they go straight into the counts of their piece of the order, from which
+    the AUC follows in one pass. Features are taken ``features_at_once``, so that a shuffle grows with the rows and
+    not with rows times features. One AUC per feature and repeat reaches the driver.
     """
     spark = vectors.sparkSession
     rows = vectors.select(key, "label", vector_to_array("features").alias("x"))
@@ -74,9 +76,8 @@ def permutation_importance(
             .withColumn("feature_index", F.explode(F.sequence(F.lit(first), F.lit(last))))
             .select("repeat", "feature_index", "label", array_to_vector(F.transform("x", replaced)).alias("features"))
         )
-        with staging(spark):
-            rescored = cut_lineage(learner.transform(shuffled).select("repeat", "feature_index", "label", chance))
-            return roc_auc(rescored, "label", "p", ["repeat", "feature_index"], cuts=cuts).collect()
+        rescored = learner.transform(shuffled).select("repeat", "feature_index", "label", chance)
+        return roc_auc(rescored, "label", "p", ["repeat", "feature_index"], cuts=cuts).collect()
 
     found = [
         (r.repeat, r.feature_index, r.roc_auc)
@@ -106,52 +107,83 @@ def importance_summary(
     return ranked.select("feature", classes.alias("class"), F.col("importance").alias("mean_abs_shap_value"))
 
 
-def tree_paths(learner: Transformer, spark: SparkSession) -> list[tuple[float, list[tuple]]]:
-    """Every leaf of a fitted tree ensemble as (value, conditions).
+LEAVES = "leaf_value double, feature array<int>, low array<double>, high array<double>, share array<double>"
+
+
+def tree_leaves(learner: Transformer, spark: SparkSession) -> DataFrame:
+    """Every leaf of a fitted tree ensemble as a row of ``LEAVES``.
 
-    Read back from the stored model. A condition is (feature, low, high, share): the leaf needs
-    ``low < x <= high``, and ``share`` is the part of training weight that met the feature's splits
-    along the path. Values are log-odds for boosted trees and probabilities for forests. Only the
-    model, whose size trees and depth bound, reaches the driver.
+    Read back from the stored model. The arrays list the leaf's conditions: it needs ``low < x <= high`` of a
+    feature, and ``share`` is the part of training weight that met the feature's splits along the path. Values are
+    log-odds for boosted trees and probabilities for forests. Trees are walked on the executors, one at a time;
+    the depth of a tree bounds its nodes.
     """
     boosted = hasattr(learner, "treeWeights") and "GBT" in type(learner).__name__
     path = scratch_path(spark, "model")
     learner.write().overwrite().save(path)
-    weights = {r[0]: r[1] for r in spark.read.parquet(f"{path}/treesMetadata").select("_1", "_3").collect()}
-    nodes: dict[int, dict] = {}
-    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
-        nodes.setdefault(row.treeID, {})[row.id] = row
-
-    def cover(node) -> float:
-        return node.impurityStats[0] if boosted else sum(node.impurityStats)
-
-    def value(tree: int, node) -> float:
-        if boosted:
-            return 2.0 * weights[tree] * node.prediction
-        return node.impurityStats[1] / (sum(node.impurityStats) * len(nodes))
-
-    leaves = []
-    for tree, members in nodes.items():
-        pending = [(0, {})]
-        while pending:
-            index, conditions = pending.pop()
-            node = members[index]
-            if node.leftChild < 0:
-                leaves.append((value(tree, node), [(f, *c) for f, c in conditions.items()]))
-                continue
-            feature, threshold = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
-            low, high, share = conditions.get(feature, (-np.inf, np.inf, 1.0))
-            for child, bounds in (
-                (node.leftChild, (low, min(high, threshold))),
-                (node.rightChild, (max(low, threshold), high)),
-            ):
-                met = share * cover(members[child]) / cover(node)
-                pending.append((child, {**conditions, feature: (*bounds, met)}))
-    return leaves
+    trees = spark.read.parquet(f"{path}/treesMetadata").select(
+        F.col("_1").alias("tree"), F.lit(2.0 * boosted) * F.col("_3") + F.lit(1.0 - boosted) / learner.getNumTrees
+    ).toDF("tree", "factor")
+    node = F.col("nodeData")
+    stats = node["impurityStats"]
+    weight = stats[0] if boosted else F.aggregate(stats, F.lit(0.0), lambda total, x: total + x)
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        node["id"].alias("id"),
+        node["leftChild"].alias("left"),
+        node["rightChild"].alias("right"),
+        node["split"]["featureIndex"].alias("feature"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        weight.alias("weight"),
+        (node["prediction"] if boosted else stats[1] / weight).alias("prediction"),
+    )
+    return nodes.join(trees, "tree").groupBy("tree").applyInPandas(_leaves_of_tree, LEAVES)
+
+
+def _leaves_of_tree(nodes: pd.DataFrame) -> pd.DataFrame:
+    members = {n.id: n for n in nodes.itertuples()}
+    leaves, pending = [], [(members[0], {})]
+    while pending:
+        node, conditions = pending.pop()
+        if node.left < 0:
+            bounds = [list(part) for part in zip(*conditions.values())] or [[], [], []]
+            leaves.append((node.factor * node.prediction, list(conditions), *bounds))
+            continue
+        low, high, share = conditions.get(node.feature, (-np.inf, np.inf, 1.0))
+        for index, edges in (
+            (node.left, (low, min(high, node.threshold))),
+            (node.right, (max(low, node.threshold), high)),
+        ):
+            child = members[index]
+            pending.append((child, {**conditions, node.feature: (*edges, share * child.weight / node.weight)}))
+    return pd.DataFrame(leaves, columns=["leaf_value", "feature", "low", "high", "share"])
 
 
-def shapley_batches(leaves: list[tuple[float, list[tuple]]], width: int):
-    """A batch function computing (base value, Shapley values) of a tree ensemble for rows ``x``.
+def tree_paths(learner: Transformer, spark: SparkSession) -> list[tuple[float, list[tuple]]]:
+    """The leaves of a small ensemble on the driver, to look at: (value, [(feature, low, high, share)])."""
+    return [
+        (r.leaf_value, list(zip(r.feature, r.low, r.high, r.share))) for r in tree_leaves(learner, spark).collect()
+    ]
+
+
+def as_leaves(spark: SparkSession, leaves: Sequence[tuple[float, Sequence[tuple]]]) -> DataFrame:
+    """Leaves as :func:`tree_paths` lists them, as a table."""
+    rows = [
+        (float(value), *[[kind(c[i]) for c in conditions] for i, kind in enumerate((int, float, float, float))])
+        for value, conditions in leaves
+    ]
+    return spark.createDataFrame(rows, LEAVES)
+
+
+@lru_cache
+def _quadrature(features: int) -> list[tuple[float, float]]:
+    """Nodes and weights on [0, 1] that integrate a product of one factor less than ``features`` exactly."""
+    nodes, weights = np.polynomial.legendre.leggauss((features + 1) // 2)
+    return list(zip((nodes + 1) / 2, weights / 2))
+
+
+def _add_leaf(x, phi, value: float, features, low, high, share) -> float:
+    """Add one leaf's Shapley values of rows ``x`` to ``phi``; returns its part of the base value.
 
     Given the features in a set S, a leaf's share of the prediction is its value times, over the
     features of its path, 1 or 0 for those in S (condition met or not) and the training share for
@@ -159,32 +191,60 @@ def shapley_batches(leaves: list[tuple[float, list[tuple]]], width: int):
     ``value * (met_j - share_j) * integral over t in [0, 1] of prod_{i != j} (share_i (1-t) + met_i t)``,
     which Gauss-Legendre nodes give exactly, as the integrand is a polynomial in t.
     """
+    if not len(features):
+        return value
+    met = ((x[:, features] > low) & (x[:, features] <= high)).astype(float)
+    total = np.zeros_like(met)
+    for t, weight in _quadrature(len(features)):
+        factors = share * (1 - t) + met * t
+        total += weight * factors.prod(axis=1, keepdims=True) / factors
+    phi[:, features] += value * (met - share) * total
+    return value * share.prod()
+
 
-    prepared = []
-    for value, conditions in leaves:
-        features, low, high, share = (np.array(part) for part in zip(*conditions)) if conditions else [[]] * 4
-        prepared.append((value, features, low, high, share))
+def shapley_batches(leaves: list[tuple[float, list[tuple]]], width: int):
+    """A batch function computing (base value, Shapley values) of a tree ensemble for rows ``x``."""
+    prepared = [
+        (value, *(np.array(part) for part in zip(*conditions))) if conditions else (value, [], [], [], [])
+        for value, conditions in leaves
+    ]
 
     def explain(x):
         phi = np.zeros((len(x), width))
-        base = 0.0
-        for value, features, low, high, share in prepared:
-            if not len(features):
-                base += value
-                continue
-            met = ((x[:, features] > low) & (x[:, features] <= high)).astype(float)
-            nodes, node_weights = np.polynomial.legendre.leggauss((len(features) + 1) // 2)
-            total = np.zeros_like(met)
-            for t, w in zip((nodes + 1) / 2, node_weights / 2):
-                factors = share * (1 - t) + met * t
-                total += w * factors.prod(axis=1, keepdims=True) / factors
-            phi[:, features] += value * (met - share) * total
-            base += value * share.prod()
-        return base, phi
+        return sum(_add_leaf(x, phi, *leaf) for leaf in prepared), phi
 
     return explain
 
 
+class _Block:
+    """Rows held while the leaves of all trees pass by."""
+
+    def __init__(self, width: int) -> None:
+        self.parts: list[np.ndarray] = []
+        self.x: np.ndarray | None = None
+        self.base, self.width = 0.0, width
+
+    def take(self, part: pd.DataFrame) -> None:
+        """More of the block's rows, or more leaves once all rows are there."""
+        is_row = part["x"].notna()
+        self.parts.extend(part.loc[is_row, "x"])
+        leaves = part[~is_row]
+        if leaves.empty or not self.parts:
+            return
+        if self.x is None:
+            self.x = np.stack(self.parts)
+            self.phi = np.zeros((len(self.x), self.width))
+        for leaf in leaves.itertuples():
+            self.base += _add_leaf(self.x, self.phi, leaf.leaf_value, leaf.feature, leaf.low, leaf.high, leaf.share)
+
+    def sums(self, log_odds: bool) -> pd.DataFrame:
+        if self.x is None:
+            return pd.DataFrame({"feature_index": [], "total": [], "rows": []})
+        value = self.base + self.phi
+        totals = (1.0 / (1.0 + np.exp(-value)) if log_odds else value).sum(axis=0)
+        return pd.DataFrame({"feature_index": range(self.width), "total": totals, "rows": len(self.x)})
+
+
 def shapley_summary(
     learner: Transformer,
     vectors: DataFrame,
@@ -197,37 +257,51 @@ def shapley_summary(
     Boosted trees add up log-odds, which a sigmoid turns into probabilities; forests average probabilities
     already. Class 0 is one minus class 1. Batches return sums per feature, never per-row values.
     """
-    leaves = tree_paths(learner, vectors.sparkSession)
+    leaves = cut_lineage(tree_leaves(learner, vectors.sparkSession))
     return leaf_summary(leaves, vectors, names, key, isinstance(learner, GBTClassificationModel), k)
 
 
 def leaf_summary(
-    leaves: list[tuple[float, list[tuple]]],
+    leaves: DataFrame,
     vectors: DataFrame,
     names: Sequence[str],
     key: str,
     log_odds: bool,
     k: int = SHAPLEY_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """:func:`shapley_summary` of an ensemble given by its leaves, see :func:`tree_paths`."""
+    """:func:`shapley_summary` of an ensemble given by its leaves, see :func:`tree_leaves`.
+
+    Rows are spread over blocks by a hash of ``key``, about ``block_rows`` to a block at most, and every block meets
+    every leaf: a block's rows come first in its partition, then the leaves stream past. A task holds one block and
+    one batch of leaves, whatever the size of the model. A leaf travels once per block, that is once per
+    ``block_rows`` rows it is evaluated for.
+    """
     spark = vectors.sparkSession
     width = len(names)
-    explain = shapley_batches(leaves, width)
+    blocks = max(spark.sparkContext.defaultParallelism, -(-vectors.count() // block_rows))
 
-    def batch_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, at = None, None
         for batch in batches:
-            base, phi = explain(np.stack(batch["x"].to_numpy()))
-            value = base + phi
-            totals = (1.0 / (1.0 + np.exp(-value)) if log_odds else value).sum(axis=0)
-            yield pd.DataFrame({"feature_index": range(width), "total": totals, "rows": len(batch)})
-
-    rows = (
-        vectors.select(key, "features")
-        .repartition(spark.sparkContext.defaultParallelism, key)
-        .select(vector_to_array("features").alias("x"))
+            for block, part in batch.groupby("block"):
+                if block != at:
+                    if held is not None:
+                        yield held.sums(log_odds)
+                    held, at = _Block(width), block
+                held.take(part)
+        if held is not None:
+            yield held.sums(log_odds)
+
+    rows = vectors.select(
+        F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), vector_to_array("features").alias("x")
     )
+    streamed = leaves.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     per_feature = (
-        rows.mapInPandas(batch_sums, "feature_index int, total double, rows long")
+        rows.unionByName(streamed, allowMissingColumns=True)
+        .repartitionById(blocks, "block")
+        .sortWithinPartitions("block", F.col("leaf_value").asc_nulls_first())
+        .mapInPandas(block_sums, "feature_index int, total double, rows long")
         .groupBy("feature_index")
         .agg((F.sum("total") / F.sum("rows")).alias("class_1"))
         .join(F.broadcast(_feature_names(spark, names)), "feature_index")

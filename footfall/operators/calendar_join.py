@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.dates import day
 
-BROADCAST_DAYS = 20_000
-
 
 def _within(calendar: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     return calendar.filter((F.col("end_date") >= day(first)) & (F.col("start_date") <= day(last)))
@@ -27,17 +25,12 @@ def days_of(calendar: DataFrame, first: dt.date, last: dt.date, at: str = "calen
     return _within(calendar, first, last).withColumn(at, F.explode(F.sequence(start, end)))
 
 
-def _small(side: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Hint a broadcast only where the date window itself bounds the row count."""
-    return F.broadcast(side) if (last - first).days <= BROADCAST_DAYS else side
-
-
 def join_weeks(df: DataFrame, at: str, calendar: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Inner join on the day: rows dated inside ``[first, last]`` gain their week's columns.
 
-    Deal weeks do not overlap, so the day-grain side has at most ``last - first + 1`` rows.
+    Deal weeks do not overlap, so the day-grain side has at most ``last - first + 1`` short rows and is broadcast.
     """
-    return df.join(_small(days_of(calendar, first, last, at), first, last), at)
+    return df.join(F.broadcast(days_of(calendar, first, last, at)), at)
 
 
 def join_ranges(
@@ -51,7 +44,7 @@ def join_ranges(
     """Same result as :func:`join_weeks` for weeks of any length, by day bins.
 
     Each week is listed once per bin it touches (two for a week and seven-day bins), each row has
-    one bin, and the exact bounds are checked after the hash match.
+    one bin, and the exact bounds are checked after the hash match. The date window bounds the weeks: broadcast.
     """
 
     def bin_of(column: Column) -> Column:
@@ -62,7 +55,7 @@ def join_ranges(
     )
     rows = df.filter(F.col(at).between(day(first), day(last))).withColumn("_bin", bin_of(F.col(at)))
     return (
-        rows.join(_small(weeks, first, last), "_bin")
+        rows.join(F.broadcast(weeks), "_bin")
         .filter(F.col(at).between(F.col("start_date"), F.col("end_date")))
         .drop("_bin")
     )

@@ -8,11 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.operators.ordering import cut_points, running_totals, with_piece
 
 
+def collapsed_scores(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score (``threshold``); rows without a score are left out."""
+    return scored.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
+        F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
+    )
+
+
 def by_score(
     scored: DataFrame,
     actual: str,
@@ -27,10 +34,7 @@ def by_score(
     """
     if cuts is None:
         cuts = cut_points(scored.select(score), [score])[score]
-    collapsed = scored.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
-        F.count_if(F.col(actual) == 1).alias("pos"), F.count_if(F.col(actual) == 0).alias("neg")
-    )
-    pieces = with_piece(collapsed, "threshold", cuts)
+    pieces = with_piece(collapsed_scores(scored, actual, score, by), "threshold", cuts)
     counted = running_totals(pieces, "threshold", ["pos", "neg"], by, descending=True)
     return counted.withColumnsRenamed(
         {"pos_through": "tp", "neg_through": "fp", "pos_all": "positives", "neg_all": "negatives"}
@@ -44,12 +48,28 @@ def roc_auc(
     by: Sequence[str] = (),
     cuts: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Chance that a positive outscores a negative, ties counted as one half; NULL for one class."""
-    above = F.col("tp") - F.col("pos") / 2
-    area = F.sum(F.col("neg") * above)
-    pairs = F.max(F.col("positives").cast("double") * F.col("negatives"))
-    counts = by_score(scored, actual, score, by, cuts)
-    return counts.groupBy(*by).agg(F.try_divide(area, pairs).alias("roc_auc"))
+    """Chance that a positive outscores a negative, ties counted as one half; NULL for one class.
+
+    One pass over the scores: each piece of the order reports its counts and the pairs ordered inside it, and pairs
+    across pieces follow from the counts.
+    """
+    if cuts is None:
+        cuts = cut_points(scored.select(score), [score])[score]
+    inside = Window.partitionBy(*by, "_piece").orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)
+    below = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+
+    def pairs(before: Column) -> Column:
+        return F.col("pos") * F.coalesce(before, F.lit(0))
+
+    pieces = (
+        with_piece(collapsed_scores(scored, actual, score, by), "threshold", cuts)
+        .withColumn("won", pairs(F.sum("neg").over(inside)) + F.col("pos") * F.col("neg") / 2)
+        .groupBy(*by, "_piece")
+        .agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "won")])
+        .withColumn("won", F.col("won") + pairs(F.sum("neg").over(below)))
+    )
+    every = F.sum("pos").cast("double") * F.sum("neg")
+    return pieces.groupBy(*by).agg(F.try_divide(F.sum("won"), every).alias("roc_auc"))
 
 
 def roc_curve(scored: DataFrame, actual: str, score: str, by: Sequence[str] = ()) -> DataFrame:

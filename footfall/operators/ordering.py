@@ -19,14 +19,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.ids import id_digest
 
-PIECES = 200
+PIECES_PER_PARTITION = 4
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], pieces: int = PIECES) -> dict[str, list[float]]:
+def cut_points(df: DataFrame, columns: Sequence[str], pieces: int | None = None) -> dict[str, list[float]]:
     """At most ``pieces - 1`` approximate quantiles per column, from one pass without a shuffle.
 
-    Results never depend on where the cuts fall; only the balance of the pieces does.
+    Results never depend on where the cuts fall; only the balance of the pieces does. Without ``pieces`` there are a
+    few for each shuffle partition.
     """
+    if pieces is None:
+        pieces = PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if pieces < 2:
         return {c: [] for c in columns}
     probabilities = [i / pieces for i in range(1, pieces)]
