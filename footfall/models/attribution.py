@@ -257,7 +257,7 @@ def shapley_summary(
     Boosted trees add up log-odds, which a sigmoid turns into probabilities; forests average probabilities
     already. Class 0 is one minus class 1. Batches return sums per feature, never per-row values.
     """
-    leaves = cut_lineage(tree_leaves(learner, vectors.sparkSession))
+    leaves = tree_leaves(learner, vectors.sparkSession)
     return leaf_summary(leaves, vectors, names, key, isinstance(learner, GBTClassificationModel), k)
 
 
