@@ -12,10 +12,10 @@ def keep_one(df: DataFrame, keys: Sequence[str], first_by: Sequence[str]) -> Dat
 
     An aggregate rather than ``row_number``: copies of a key shrink to one before the shuffle.
     """
-    rest = [c for c in df.columns if c not in keys]
+    rest = ", ".join(f"`{c}`" for c in df.columns if c not in keys)
     return (
         df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), F.struct(*first_by)).alias("_row"))
+        .agg(F.min_by(F.expr(f"struct({rest})"), F.struct(*first_by)).alias("_row"))
         .select(*keys, "_row.*")
         .select(*df.columns)
     )
@@ -26,20 +26,22 @@ def flag_matrix(df: DataFrame, key: str, pivots: Sequence[tuple[str, Sequence[in
 
     Each pivot is (position column, declared positions, name pattern such as ``{}_weeks_back``). The
     positions present are gathered as a set, never longer than the declared domain, so one shuffle
-    on the key serves all pivots.
+    on the key serves all pivots. The many flags are written as SQL text: one call builds them all.
     """
-    inside = [F.when(F.col(p).isin(list(domain)), F.col(p)) for p, domain, _ in pivots]
+    inside = [
+        F.expr(f"CASE WHEN `{p}` IN ({', '.join(str(int(n)) for n in domain)}) THEN `{p}` END") for p, domain, _ in pivots
+    ]
     present = (
         df.filter(F.coalesce(*inside).isNotNull())
         .groupBy(key)
         .agg(*[F.collect_set(c).alias(f"_present_{i}") for i, c in enumerate(inside)])
     )
     flags = [
-        F.array_contains(f"_present_{i}", p).cast("int").alias(name.format(p))
+        f"CAST(array_contains(_present_{i}, {int(p)}) AS INT) AS `{name.format(p)}`"
         for i, (_, domain, name) in enumerate(pivots)
         for p in domain
     ]
-    return present.select(key, *flags)
+    return present.selectExpr(f"`{key}`", *flags)
 
 
 def as_one_row(df: DataFrame, position: str, value: str, positions: Sequence[int], name: str) -> DataFrame:

@@ -14,7 +14,7 @@ def widen(vectors: DataFrame, width: int, vector: str = "embedding", key: str =
     wrong = F.raise_error(F.concat(F.lit(f"vector of {width} numbers expected, found "), size.cast("string")))
     checked = F.when(F.col(vector).isNotNull() & (size != width), wrong).otherwise(F.col(vector))
     own = vectors.select(key, checked.alias(vector))
-    return own.select(key, *[F.get(F.col(vector), i).alias(f"latent_{i}") for i in range(width)])
+    return own.selectExpr(f"`{key}`", *[f"get(`{vector}`, {i}) AS latent_{i}" for i in range(width)])
 
 
 def embedding_table(segments: Iterable[tuple[DataFrame, DataFrame]], width: int) -> DataFrame:

@@ -7,13 +7,16 @@ the previous model's ``previous_labels`` snapshots. Results named after a week a
 Order by data: features and embeddings of the feature week and labels of the target week before
 :func:`train`; features and embeddings of the scoring week before :func:`score`; statistics before
 :func:`label`; labels before :func:`merge`.
+
+Every job removes the stages it stored once its results are saved, also when it fails.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,7 +30,7 @@ from footfall.operators.sampling import stratified_split
 from footfall.plans import affinity, embeddings, experiment, features, history, labels, likelihood
 from footfall.plans import profiles, promo, transactions
 from footfall.plans.calendar import week_reference
-from footfall.session import cut_lineage
+from footfall.session import cut_lineage, staging
 from footfall.sources import tables
 from footfall.sources.json_lines import read_segments
 
@@ -72,10 +75,22 @@ class Store:
         return transactions.accounts(self.table("loyalty_account"))
 
 
+def job(run: Callable) -> Callable:
+    """A job that owns its stages; what it returns is read from saved tables."""
+
+    @wraps(run)
+    def owned(store: Store, *args, **kwargs):
+        with staging(store.spark):
+            return run(store, *args, **kwargs)
+
+    return owned
+
+
 def _look_back(week: Week) -> tuple[dt.date, dt.date]:
     return week.days_before(LOOK_BACK_DAYS), week.days_before(1)
 
 
+@job
 def customer_features(store: Store, week_identifier: str) -> None:
     """Purchase profile, point profile and purchase history as of the start of the week.
 
@@ -92,6 +107,7 @@ def customer_features(store: Store, week_identifier: str) -> None:
     store.save(history.purchase_history(days, store.calendar(), week), "purchase_history", week_identifier)
 
 
+@job
 def promo_weeks(
     store: Store,
     first_year: int,
@@ -104,6 +120,7 @@ def promo_weeks(
     store.save(promo.promo_history(chosen, store.calendar(), first_year, last_year), "promo_history")
 
 
+@job
 def customer_labels(store: Store, week_identifier: str) -> None:
     found = labels.purchase_labels(
         store.table("transaction_detail"), store.accounts(), store.banner, store.week(week_identifier)
@@ -111,6 +128,7 @@ def customer_labels(store: Store, week_identifier: str) -> None:
     store.save(found, "purchase_labels", week_identifier)
 
 
+@job
 def customer_embeddings(
     store: Store, week_identifier: str, segments: Iterable[tuple[DataFrame, DataFrame]], width: int
 ) -> None:
@@ -123,6 +141,7 @@ def customer_embeddings_of(store: Store, week_identifier: str, segment_map: str,
     customer_embeddings(store, week_identifier, read_segments(store.spark, segment_map), width)
 
 
+@job
 def statistic_inputs(store: Store, week_identifier: str, with_customer_base: bool = False) -> None:
     """Offer views and transactions by week; on request also the active customers' weeks, which no job reads."""
     week, calendar = store.week(week_identifier), store.calendar()
@@ -144,6 +163,7 @@ def statistic_inputs(store: Store, week_identifier: str, with_customer_base: boo
         store.save(customers, "customer_base")
 
 
+@job
 def statistic_features(store: Store, week_identifier: str) -> None:
     found = affinity.statistic_features(
         store.table("active_customers"),
@@ -196,6 +216,7 @@ def _explained(best: str, models: Mapping[str, PipelineModel], rows: DataFrame,
     return attribution.shapley_summary(model.stages[-1], vectors, names.ordered, KEY)
 
 
+@job
 def train(
     store: Store,
     feature_week: str,
@@ -212,7 +233,7 @@ def train(
     statistic_week: str | None = None,
     keep_unprofiled: bool = False,
 ) -> DataFrame:
-    """Fit, measure and keep a model; returns the validation and test AUC per model.
+    """Fit, measure and keep a model; returns the validation and test AUC per model, also kept by ``model_week``.
 
     With ``trials`` the boosting ``settings`` come from a halving search, whose trials are kept, with ``forest_trials`` the forest's;
     ``tuning_rows`` bounds the labelled rows searched (None: all). Boosted trees compete with a random forest and,
@@ -286,9 +307,11 @@ def train(
     if best == "regularised_trees":
         final = refit.refit(final, with_class_weight(rows), chosen)
     tables.save_model(final, store.path("models"), best, model_week)
-    return comparison
+    store.save(comparison, "model_comparison", model_week)
+    return store.snapshot("model_comparison", model_week).orderBy(F.col("validation_auc").desc(), "model")
 
 
+@job
 def score(
     store: Store,
     week_identifier: str,
@@ -305,6 +328,7 @@ def score(
     store.save(scoring.score(model, population, [KEY, "epcl_profileid"]), "predictions", week_identifier)
 
 
+@job
 def label(store: Store, prediction_week: str, statistic_week: str, label_week: str) -> None:
     found = likelihood.likelihood_labels(
         store.snapshot("predictions", prediction_week),
@@ -314,6 +338,7 @@ def label(store: Store, prediction_week: str, statistic_week: str, label_week: s
     store.save(found, "likelihood_labels", label_week)
 
 
+@job
 def merge(store: Store, week_identifier: str, test_share: float = 0.1, seed: int = 42) -> None:
     """Assign test and control customers and overlay the test group's new labels."""
     previous = store.snapshot("previous_labels", week_identifier)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from checks import products
 from checks.standins import BANNER, EMBEDDING_WIDTH, EVENT_WEEK, FEATURE_WEEK, TARGET_WEEK, Standins
 from footfall import weekly
+from footfall.session import cut_lineage, shared_folder
 from footfall.sources import tables
 
 SMALL = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3}
@@ -21,6 +23,11 @@ def same_rows(found, want):
     assert found.exceptAll(want).count() == 0
 
 
+def stages(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
 @pytest.fixture(scope="module")
 def standins(spark, sf_dir):
     return Standins(spark, sf_dir)
@@ -46,7 +53,9 @@ def fill(store, s, detail):
 def trained(spark, standins, tmp_path_factory):
     store = weekly.Store(spark, str(tmp_path_factory.mktemp("store")), BANNER)
     fill(store, standins, standins.transaction_detail())
+    before = stages(spark)
     weekly.customer_features(store, FEATURE_WEEK.identifier)
+    assert stages(spark) == before
     weekly.promo_weeks(store, 1999, 2001, "Brand#1", "RING", ["PROMO", "SMALL"])
     weekly.customer_labels(store, TARGET_WEEK.identifier)
     segments = standins.embedding_segments()
@@ -65,6 +74,18 @@ def test_snapshots_equal_the_products(trained, standins):
     assert trained.snapshot("point_profile", week).count() == products.point_profile(standins).count()
 
 
+def test_a_job_that_fails_leaves_no_stage(spark, tmp_path):
+    @weekly.job
+    def fails(store):
+        assert cut_lineage(store.spark.range(3)).count() == 3 and len(stages(spark) - before) == 1
+        raise ValueError("lost")
+
+    before = stages(spark)
+    with pytest.raises(ValueError, match="lost"):
+        fails(weekly.Store(spark, str(tmp_path), BANNER))
+    assert stages(spark) == before
+
+
 def test_training_and_scoring_share_their_columns(trained):
     training = weekly.feature_matrix(trained, FEATURE_WEEK.identifier, TARGET_WEEK.identifier)
     scoring = weekly.feature_matrix(trained, FEATURE_WEEK.identifier)
@@ -77,9 +98,12 @@ def test_train_then_score(trained):
     busy = trained.snapshot("purchase_history", FEATURE_WEEK.identifier).drop("made_purchase", "week_identifier")
     flags = busy.distinct().selectExpr("*", "'Y' AS purchase_flag")
     trained.save(flags, "purchase_labels", "2001_399")
+    before = stages(trained.spark)
     comparison = weekly.train(
         trained, FEATURE_WEEK.identifier, "2001_399", "2001_331", dt.datetime(2001, 6, 30), SMALL
     )
+    assert stages(trained.spark) == before and comparison.count() == 2
+    assert trained.snapshot("model_comparison", "2001_331").columns == ["model", "validation_auc", "test_auc"]
     best = comparison.first().model
     record = trained.table("model_performance").collect()
     assert len(record) == 1 and record[0].model_type == best and record[0].roc_auc > 0.8
