@@ -64,7 +64,8 @@ def permutation_importance(
     def replaced(value, i):
         return F.when(i == F.col("feature_index"), F.get("donor", F.col("feature_index"))).otherwise(value)
 
-    paired = cut_lineage(receivers.join(donors, "rank").select("repeat", "label", "x", "donor"))
+    # the size Spark expects leaves out the repeats and the compression of the stored table: by it all rows were broadcast
+    paired = cut_lineage(receivers.hint("shuffle_merge").join(donors, "rank").select("repeat", "label", "x", "donor"))
     chance = vector_to_array("probability")[1].alias("p")
     plain = cut_lineage(learner.transform(vectors).select("label", chance))
     cuts = cut_points(plain, ["p"])["p"]

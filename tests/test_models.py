@@ -174,6 +174,24 @@ def test_permuting_the_only_used_feature_matters_most(spark):
     assert {r.feature: r.importance for r in one_by_one.collect()} == found
 
 
+def test_permuted_rows_are_never_broadcast(spark, monkeypatch, capsys):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    stored = []
+    monkeypatch.setattr(attribution, "cut_lineage", lambda df: stored.append(df) or df)
+    vector = array_to_vector(F.array(F.col("id") % 7 / 7.0, F.col("id") % 5 / 5.0))
+    base = spark.range(40).select("id", vector.alias("features"), (F.col("id") % 5 > 2).cast("int").alias("label"))
+    learner = DecisionTreeClassifier(maxDepth=2).fit(base)
+    attribution.permutation_importance(learner, base, ["idle", "used"], "id", repeats=2)
+    paired = stored[0]
+    assert paired.count() == 2 * 40
+    capsys.readouterr()
+    paired.explain()  # the join of receivers and donors is the topmost one
+    top = next(line for line in capsys.readouterr().out.splitlines() if "Join" in line)
+    assert "SortMergeJoin [rank#" in top, top
+
+
 @pytest.mark.parametrize("name", sorted(m.MODEL_QUERIES))
 def test_model_queries_return_rows(spark, sf_dir, name):
     assert m.MODEL_QUERIES[name](Standins(spark, sf_dir)).count() > 0
