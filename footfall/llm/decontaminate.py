@@ -9,25 +9,26 @@ too, whatever their cosine. Candidates are verified by the longest common subseq
 matches, by a check that the end of the item (its answer) is there too.
 
 Items of fewer than ``LEAST_ITEM`` words are not searched, as their words turn up in clean texts by themselves;
-:func:`skipped_items` lists them. Document frequencies cover all documents. The SVD is fitted to all chunks and to the
-passages of a bounded sample of documents (``FIT_DOCS``); every passage is searched. Items are a stated query set:
-they are taken in blocks of about ``BLOCK_BYTES`` of text, items longer than half of that in pieces, and a block's
-matches are stored before the next block is read.
+:func:`skipped_items` lists them. Document frequencies and the SVD cover all documents: texts are stored as term
+numbers once, counted, multiplied and searched. Items are a stated query set: they are taken in blocks of about
+``BLOCK_BYTES`` of text, items longer than half of that in pieces, and a block's matches are stored before the next
+block is read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.common import identified, objects
-from footfall.session import cut_lineage
+from footfall.session import cut_lineage, scratch_path, staging
 
 #: Production parameters.
 #: Singular vectors per square root of a block's chunks, and the fewest.
@@ -35,7 +36,6 @@ RANK_PER_ROOT, LEAST_RANK = 6, 32
 LEAST_COSINE = 0.45
 LEAST_ITEM = 6
 POWER_ROUNDS = 2
-FIT_DOCS = 1_000
 BLOCK_BYTES = 1 << 20
 LEAST_COMMON = 0.6
 LOOSE_COMMON, LEAST_ANSWER = 0.45, 0.8
@@ -47,9 +47,10 @@ RARE = 0.25
 #: Longest chunk, blocks per window, words per block: a window holds any chunk of its scale whole.
 SCALES = ((16, 3, 8), (CHUNK, 4, 16))
 
-_AT_ONCE = 150_000  # words searched together
+_AT_ONCE = 50_000  # words searched together
 _COLUMNS = 256  # chunks counted together
-_CELLS = 1 << 25  # windows times words looked up together
+_PASSAGES = 4_096  # passages multiplied together
+_CELLS = 1 << 22  # windows times words looked up together
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -102,22 +103,42 @@ def _numbers(text: str, terms: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(terms.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
-def document_frequencies(texts: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+def numbered(texts: DataFrame, items: Items) -> DataFrame:
+    """``doc_id, text_hash, numbers``: the words of every text as term numbers (bytes of int32), -1 for other words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            numbers = [_numbers(text, items.terms).astype(np.int32).tobytes() for text in batch["text"]]
+            yield pd.DataFrame(
+                {"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "numbers": objects(numbers)}
+            )
+
+    return texts.select("doc_id", "text_hash", "text").mapInPandas(run, "doc_id long, text_hash long, numbers binary")
+
+
+def _rows(batch: pd.DataFrame) -> list[np.ndarray]:
+    return [np.frombuffer(numbers, dtype=np.int32) for numbers in batch["numbers"]]
+
+
+def document_frequencies(numbers: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents."""
     size = len(items.terms)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, docs = np.zeros(size + 1, dtype=np.int64), 0
+        there = np.zeros(size + 1, dtype=bool)  # the last one for words that are no terms
         for batch in batches:
-            for text in batch["text"]:
-                total += np.bincount(_numbers(text, items.terms) + 1, minlength=size + 1) > 0
+            for own in _rows(batch):
+                there[:] = False
+                there[own] = True
+                total += there
                 docs += 1
-        total[0] = docs
+        total[size] = docs
         yield pd.DataFrame({"term": np.arange(size + 1), "n": total})
 
-    counted = texts.select("text").mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = numbers.select("numbers").mapInPandas(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = counted.toPandas().set_index("term")["n"].reindex(range(size + 1), fill_value=0).to_numpy()
-    return found[1:], int(found[0])
+    return found[:size], int(found[size])
 
 
 def idf(frequencies: np.ndarray, docs: int) -> np.ndarray:
@@ -129,30 +150,70 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
-def _passages(texts: DataFrame, items: Items) -> DataFrame:
-    """Term numbers of the sample's passages, those without a term left out.
+def _passages(rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Terms of the texts' passages, one after the other, and each passage's number of terms, about ``_PASSAGES`` at once.
 
-    The sample is ``FIT_DOCS`` different rows; copies of a text count as often as they are drawn themselves.
+    Passages without a term are left out.
     """
     size = SCALES[-1][1] * SCALES[-1][2]
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for text in batch["text"]:
-                own = _numbers(text, items.terms)
-                for at in range(0, len(own), size):
-                    part = own[at : at + size]
-                    part = part[part >= 0]
-                    if len(part):
-                        found.append(part.tolist())
-            yield pd.DataFrame({"passage": objects(found)})
-
-    ids = texts.select("doc_id", "text_hash").distinct().orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id").limit(FIT_DOCS)
-    chosen = ids.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    own = texts.join(F.broadcast(chosen), same, "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    return own.select("text").mapInPandas(cut, "passage array<int>")
+    held: list[np.ndarray] = []
+    words = 0
+
+    def cut() -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(part) for part in held])
+        count = -(-sizes // size)
+        place = np.arange(words) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        passage = np.repeat(np.cumsum(count) - count, sizes) + place // size
+        own = np.concatenate(held)
+        lengths = np.bincount(passage[own >= 0], minlength=int(count.sum()))
+        return own[own >= 0], lengths[lengths > 0]
+
+    for row in rows:
+        for low in range(0, len(row), size * _PASSAGES):
+            held.append(row[low : low + size * _PASSAGES])
+            words += len(held[-1])
+            if words >= size * _PASSAGES:
+                yield cut()
+                held, words = [], 0
+    if held:
+        yield cut()
+
+
+def _summed(table: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of rows of a table: the first ``lengths[0]`` of ``ids`` make the first sum, and so on."""
+    order = np.argsort(-lengths, kind="stable")
+    first, falling = (np.cumsum(lengths) - lengths)[order], -lengths[order]
+    out = np.zeros((len(lengths), table.shape[1]), dtype=table.dtype)
+    row = np.empty_like(out)
+    for k in range(int(lengths.max(initial=0))):  # the k-th row of every sum that has one
+        more = int(np.searchsorted(falling, -k))
+        np.take(table, ids[first[:more] + k], axis=0, out=row[:more], mode="clip")
+        out[:more] += row[:more]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return out[back]
+
+
+def _passages_times(
+    words: np.ndarray, lengths: np.ndarray, weights: np.ndarray, latent: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """AᵀA times a basis for the unit TF-IDF rows A of passages, as terms and their rows without the terms' weights.
+
+    ``latent`` is the basis times the weights.
+    """
+    order = np.argsort(words.astype(np.min_scalar_type(len(weights))), kind="stable")
+    by_term, passage = words[order], np.repeat(np.arange(len(lengths)), lengths)[order]
+    starts = np.flatnonzero(np.diff(by_term, prepend=-1) | np.diff(passage, prepend=-1))
+    times = np.diff(starts, append=len(words))
+    norms = np.bincount(passage[starts], (times * weights[by_term[starts]]) ** 2, minlength=len(lengths))
+    ahead = _summed(latent, words, lengths) / norms[:, None].astype(np.float32)
+    # a term's passages in stretches as long as a passage, so that frequent terms are summed alongside each other
+    first = np.flatnonzero(np.diff(by_term, prepend=-1))
+    place = np.arange(len(words)) - np.repeat(first, np.diff(first, append=len(words)))
+    stretch = np.flatnonzero(place % (SCALES[-1][1] * SCALES[-1][2]) == 0)
+    sums = _summed(ahead, passage, np.diff(stretch, append=len(words)))
+    of_term = np.searchsorted(stretch, first)
+    return by_term[first], np.add.reduceat(sums, of_term, axis=0)
 
 
 def _matrix(passages: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,32 +243,50 @@ def rank_for(chunks: int) -> int:
     return max(LEAST_RANK, math.ceil(RANK_PER_ROOT * math.sqrt(chunks)))
 
 
-def latent_basis(texts: DataFrame, items: Items, weights: np.ndarray, rank: int | None = None) -> np.ndarray:
-    """Leading right singular vectors (terms × rank) of the TF-IDF passages, by randomised subspace iteration.
+def latent_basis(numbers: DataFrame, items: Items, weights: np.ndarray, rank: int | None = None) -> np.ndarray:
+    """Leading right singular vectors (terms × rank) of the TF-IDF chunks and passages, by randomised subspace iteration.
 
-    Every round multiplies by AᵀA where the passages lie and sums the parts; the sample and so the number of
-    parts is bounded. Chunks and sampled passages weigh the same in total.
+    Every round multiplies by AᵀA where the passages of all documents lie: a task sums its own, and a shuffle by term
+    adds up the tasks, one to a core, so that it does not grow with the documents. Chunks and passages weigh the same in
+    total.
     """
     size = len(weights)
     rank = rank_for(len(items.chunks)) if rank is None else rank
     width = min(size, rank + 16)
-    sample = cut_lineage(_passages(texts, items).repartition(4))
-    passages = sample.count()
     own = _matrix(items.chunks, weights)
-    balance = len(items.chunks) / max(passages, 1)
+    dealt = numbers.select("numbers").coalesce(numbers.sparkSession.sparkContext.defaultParallelism)
 
     def multiplied(basis: np.ndarray) -> np.ndarray:
+        latent = (weights[:, None] * basis).astype(np.float32)
+
         def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros_like(basis)
+            total = np.zeros((size + 1, width))  # the last row counts passages
             for batch in batches:
-                total += _gram_times(_matrix([np.asarray(p) for p in batch["passage"]], weights), basis)
-            yield pd.DataFrame({"part": [total.astype(np.float32).tobytes()]})
-
-        rest = sum(
-            np.frombuffer(bytes(r["part"]), dtype=np.float32).reshape(basis.shape).astype(float)
-            for r in sample.mapInPandas(part, "part binary").collect()
-        )
-        return _gram_times(own, basis) + balance * rest
+                for words, lengths in _passages(_rows(batch)):
+                    if len(words):
+                        terms, rows = _passages_times(words, lengths, weights, latent)
+                        total[terms] += rows
+                        total[size] += len(lengths)
+            found = np.flatnonzero(total.any(axis=1))
+            for low in range(0, len(found), 1_000):
+                some = found[low : low + 1_000]
+                rows = objects(total[t].astype(np.float32).tobytes() for t in some)
+                yield pd.DataFrame({"term": some, "task": TaskContext.get().partitionId(), "part": rows})
+
+        def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            totals: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for term, row in zip(batch["term"], batch["part"]):
+                    totals[term] = totals.get(term, 0.0) + np.frombuffer(row, dtype=np.float32).astype(float)
+            rows = objects(row.astype(np.float32).tobytes() for row in totals.values())
+            yield pd.DataFrame({"term": pd.Series(list(totals), dtype="int64"), "part": rows})
+
+        parts = dealt.mapInPandas(part, "term int, task int, part binary").repartition("term")
+        rest = np.zeros((size + 1, width))
+        for r in parts.sortWithinPartitions("term", "task").mapInPandas(added, "term int, part binary").collect():
+            rest[r.term] = np.frombuffer(bytes(r.part), dtype=np.float32)
+        balance = len(items.chunks) / max(rest[size, 0], 1)
+        return _gram_times(own, basis) + balance * weights[:, None] * rest[:size]
 
     basis = np.linalg.qr(np.random.default_rng(11).standard_normal((size, width)))[0]
     for _ in range(POWER_ROUNDS):
@@ -329,7 +408,8 @@ class Search:
                 there[at_row[at_row >= 0], own[start:end][inside][at_row >= 0]] = True
             upto = first[low + step] if low + step < len(first) else len(row)
             mine = slice(first[low], upto)
-            held = there[place[row[mine]][:, None], self.padded[wanted[mine]]].sum(axis=1)
+            cells = self.padded[wanted[mine]] + (place[row[mine]] * there.shape[1])[:, None]
+            held = there.ravel().take(cells, mode="clip").sum(axis=1, dtype=np.uint8)  # CHUNK words at most
             found[mine] = held >= self.needed[wanted[mine]]
         return found
 
@@ -370,6 +450,12 @@ class Search:
         self, texts: list[str], ways: tuple[str, ...] = ("near", "counted")
     ) -> list[tuple[int, int, float, float, float]]:
         """Confirmed (text, item, common, answer, cosine), the best of each text and item."""
+        return self.run_numbers((_numbers(text, self.items.terms) for text in texts), ways)
+
+    def run_numbers(
+        self, rows: Iterable[np.ndarray], ways: tuple[str, ...] = ("near", "counted")
+    ) -> list[tuple[int, int, float, float, float]]:
+        """:meth:`run` of texts that are term numbers already."""
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         gap = max(blocks * step for _, blocks, step in SCALES)
         waiting: list[tuple[int, np.ndarray]] = []
@@ -390,8 +476,7 @@ class Search:
                         window, before = window[window >= 0].tolist(), begin
                     self._verify(best, place, window, chunk)
 
-        for place, text in enumerate(texts):
-            numbers = _numbers(text, self.items.terms)
+        for place, numbers in enumerate(rows):
             for low in range(0, len(numbers), _AT_ONCE):
                 waiting.append((place, numbers[low : low + _AT_ONCE + gap]))
                 words += len(waiting[-1][1])
@@ -422,7 +507,7 @@ class Search:
 def _scan(search: Search) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = search.run(batch["text"].tolist())
+            found = search.run_numbers(own.astype(np.int64) for own in _rows(batch))
             places = [f[0] for f in found]
             yield pd.DataFrame(
                 {
@@ -455,17 +540,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pieces = _pieces(benchmark)
     size = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    result = docs.sparkSession.createDataFrame([], _FOUND)
+    spark = docs.sparkSession
+    result = spark.createDataFrame([], _FOUND)
     for block in range(blocks):
         rows = pieces.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text", "end")
         items = prepare([tuple(r) for r in rows.collect()])
         if not items.chunks:
             continue
-        frequencies, count = document_frequencies(texts, items)
-        weights = idf(frequencies, count)
-        search = Search(items, weights, latent_basis(texts, items, weights))
-        found = texts.select("doc_id", "text_hash", "text").mapInPandas(_scan(search), _FOUND)
-        result = result.unionByName(cut_lineage(found) if blocks > 1 else found)
+        path = scratch_path(spark, "matches")
+        with staging(spark):  # a block's numbers go before the next block's are made
+            numbers = cut_lineage(numbered(texts, items))
+            frequencies, count = document_frequencies(numbers, items)
+            weights = idf(frequencies, count)
+            search = Search(items, weights, latent_basis(numbers, items, weights))
+            numbers.mapInPandas(_scan(search), _FOUND).write.parquet(path)
+        result = result.unionByName(spark.read.schema(_FOUND).parquet(path))
     if blocks == 1:
         return result
     shares = F.struct("common", "answer", "cosine")

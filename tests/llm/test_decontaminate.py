@@ -91,3 +91,32 @@ def test_empty_tables(spark, rows):
     assert decontaminate.contaminated(docs, benchmark).count() == 0
     assert decontaminate.clean(docs, benchmark).count() == len(rows)
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def test_singular_vectors_are_fitted_to_the_passages_of_all_documents(spark, monkeypatch):
+    fitted = []
+    search = decontaminate.Search
+    monkeypatch.setattr(decontaminate, "Search", lambda *made: fitted.append(made) or search(*made))
+    own = random.Random(4)
+    rows = [(i, " ".join(f"w{own.randrange(30) * own.randrange(2)}" for _ in range(own.randint(1, 150)))) for i in range(1300)]
+    rows += [(i, f"w{i % 3 + 5} w{i % 3 + 6} other words") for i in range(1300, 1400)] + [(1400, "other words")]
+    benchmark = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(30)))], "item_id long, text string")
+    decontaminate.contaminated(table(spark, rows), benchmark).count()
+    (items, weights, basis), = fitted
+    passages = []
+    for _, text in rows:
+        numbers = decontaminate._numbers(text, items.terms)
+        parts = [numbers[at : at + 64] for at in range(0, len(numbers), 64)]
+        passages += [part[part >= 0] for part in parts if (part >= 0).any()]
+
+    def gram(of):
+        rows, columns, values = decontaminate._matrix(of, weights)
+        dense = np.zeros((len(of), len(weights)))
+        dense[rows, columns] = values
+        return dense.T @ dense
+
+    every = gram(items.chunks) + len(items.chunks) / len(passages) * gram(passages)
+    turned = basis.T.astype(float) @ every @ basis
+    strength = np.sort(np.linalg.eigvalsh(every))[::-1]
+    assert np.diag(turned) == pytest.approx(strength, abs=1e-6)
+    assert turned - np.diag(np.diag(turned)) == pytest.approx(0, abs=1e-6)
